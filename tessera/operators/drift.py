@@ -35,10 +35,21 @@ def _json_type(v: Column) -> Column:
 
 
 def _files(df: DataFrame, feed: str, file: str, at: str) -> DataFrame:
-    """(feed, file, seq, prev): the files of each feed by time; prev is null for the first."""
+    """(feed, file, prev, next): the files of each feed by time; prev is null for the first, next for the last.
+
+    Neighbours are found within the months of a feed, and between months through the ends of each: a feed with a third
+    of all files isn't sorted in one task.
+    """
     files = df.groupBy(F.col(feed).alias("feed"), F.col(file).alias("file")).agg(F.min(at).alias("at"))
-    w = Window.partitionBy("feed").orderBy("at", "file")
-    return files.select("feed", "file", F.row_number().over(w).alias("seq"), F.lag("file").over(w).alias("prev"))
+    files = files.withColumn("month", F.date_trunc("month", "at"))
+    near = Window.partitionBy("feed", "month").orderBy("at", "file")
+    within = files.select("feed", "month", "file", F.lag("file").over(near).alias("p"), F.lead("file").over(near).alias("n"))
+    place = F.struct("at", "file")
+    ends = files.groupBy("feed", "month").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    months = Window.partitionBy("feed").orderBy("month")
+    ends = ends.select("feed", "month", F.lag("last.file").over(months).alias("before"), F.lead("first.file").over(months).alias("after"))
+    same = within["feed"].eqNullSafe(ends["feed"]) & within["month"].eqNullSafe(ends["month"])
+    return within.join(ends, same).select(within["feed"], "file", F.coalesce("p", "before").alias("prev"), F.coalesce("n", "after").alias("next"))
 
 
 def path_values(df: DataFrame, feed: str, file: str, payload: str, keep: list[str] | None = None) -> DataFrame:
@@ -61,59 +72,64 @@ def schema_changes(df: DataFrame, feed: str, file: str, at: str, payload: str, e
     feed's first file has none. Null payloads and payloads that aren't objects count as records without fields.
     Repeated records count once. Files of one time are ordered by name. An empty table gives an empty result.
     """
-    files = _files(df, feed, file, at).persist()
-    stats = file_statistics(df, feed, file, payload)
-    now = stats.join(files, ["feed", "file"]).where("prev is not null").select("feed", "file", "path", F.col("types").alias("new_types"))
-    after = files.where("prev is not null").select("feed", F.col("prev").alias("file"), F.col("file").alias("next"))
-    before = stats.join(after, ["feed", "file"]).select("feed", F.col("next").alias("file"), "path", F.col("types").alias("old_types"))
-    both = now.join(before, ["feed", "file", "path"], "full")
+    files = _files(df, feed, file, at)
+    stats = file_statistics(df, feed, file, payload).join(files, ["feed", "file"])
+    # each path of a file stands against the file itself and against the next one
+    here = F.struct(F.col("file").alias("file"), F.col("prev").alias("prev"), F.col("types").alias("new_types"), F.lit(None).cast("array<string>").alias("old_types"))
+    there = F.struct(F.col("next").alias("file"), F.col("file").alias("prev"), F.lit(None).cast("array<string>").alias("new_types"), F.col("types").alias("old_types"))
+    sides = stats.select("feed", "path", F.explode(F.array(here, there)).alias("s")).select("feed", "path", "s.*").where("file is not null and prev is not null")
+    both = sides.groupBy("feed", "file", "prev", "path").agg(F.max("old_types").alias("old_types"), F.max("new_types").alias("new_types"))
     change = (
         F.when(F.col("old_types").isNull(), "added")
         .when(F.col("new_types").isNull(), "removed")
         .when((F.size("old_types") > 0) & (F.size("new_types") > 0) & (F.col("old_types") != F.col("new_types")), "retyped")
     )
-    changes = both.select("feed", "file", "path", change.alias("change")).where("change is not null").persist()
-    renamed = _renames(df, feed, file, payload, entity, files, changes).persist()
-    gone = renamed.select("feed", "file", F.col("old_field").alias("path"), F.lit("removed").alias("change"))
-    come = renamed.select("feed", "file", F.col("new_field").alias("path"), F.lit("added").alias("change"))
-    rest = changes.join(gone.unionByName(come), ["feed", "file", "path", "change"], "left_anti")
+    changes = both.select("feed", "file", "prev", "path", change.alias("change")).where("change is not null").persist()
+    renamed = _renames(df, feed, file, payload, entity, changes)
+    # a renamed path is the removed and the added one: all three meet in one group of the path
+    ends = renamed.select("feed", "file", F.explode(F.array(F.struct(F.col("old_field").alias("path"), F.lit("removed").alias("change"), F.col("new_field").alias("other")), F.struct(F.col("new_field").alias("path"), F.lit("added").alias("change"), F.lit(None).cast("string").alias("other")))).alias("e"))
+    tagged = changes.select("feed", "file", "path", "change", F.lit(None).cast("string").alias("other"), F.lit(0).alias("r")).unionByName(ends.select("feed", "file", "e.*", F.lit(1).alias("r")))
+    met = tagged.groupBy("feed", "file", "path", "change").agg(F.max("other").alias("other"), F.max("r").alias("r")).where("r = 0 or other is not null")
     blank = F.lit("")
-    plain = rest.select(
+    return met.select(
         "feed",
         "file",
-        "change",
+        F.when(F.col("r") == 1, "renamed").otherwise(F.col("change")).alias("change"),
         F.when(F.col("change") == "added", blank).otherwise(F.col("path")).alias("old_field"),
-        F.when(F.col("change") == "removed", blank).otherwise(F.col("path")).alias("new_field"),
+        F.when(F.col("r") == 1, F.col("other")).when(F.col("change") == "removed", blank).otherwise(F.col("path")).alias("new_field"),
     )
-    return plain.unionByName(renamed.select("feed", "file", F.lit("renamed").alias("change"), "old_field", "new_field"))
 
 
-def _renames(df: DataFrame, feed: str, file: str, payload: str, entity: str, files: DataFrame, changes: DataFrame) -> DataFrame:
+def _renames(df: DataFrame, feed: str, file: str, payload: str, entity: str, changes: DataFrame) -> DataFrame:
+    """(feed, file, old_field, new_field): removed and added paths of a file that are one."""
+    swap = Window.partitionBy("feed", "file")
+    moved = changes.where("change in ('added', 'removed')")
+    # only files in which one path went and another came can hold a renamed one
+    moved = moved.withColumn("kinds", F.size(F.collect_set("change").over(swap))).where("kinds = 2")
+    need = moved.select("feed", F.col("file").alias("at_file"), "path", F.when(F.col("change") == "removed", F.col("prev")).otherwise(F.col("file")).alias("file"), (F.col("change") == "added").alias("new"))
     keyed = df.select(
         F.col(feed).alias("feed"),
         F.col(file).alias("file"),
         F.col(payload).alias("payload"),
         F.try_variant_get(F.try_parse_json(F.col(payload)), f"$.{entity}", "string").alias("entity"),
     )
-    after = files.where("prev is not null").select("feed", F.col("prev").alias("file"), F.col("file").alias("next"))
-    removed = changes.where("change = 'removed'").select("feed", F.col("file").alias("next"), "path").join(after, ["feed", "next"])
-    added = changes.where("change = 'added'").select("feed", "file", "path")
-    # only files in which one path went and another came can hold a renamed one
-    swaps = added.select("feed", "file").distinct().join(removed.select("feed", F.col("next").alias("file")).distinct(), ["feed", "file"])
-    removed = removed.join(swaps.select("feed", F.col("file").alias("next")), ["feed", "next"], "left_semi")
-    added = added.join(swaps, ["feed", "file"], "left_semi")
-    values = path_values(keyed, "feed", "file", "payload", ["entity"]).where("type is not null and entity is not null").select("feed", "file", "path", "entity", F.xxhash64(F.to_json("value")).alias("v"))
-    old = values.join(removed, ["feed", "file", "path"]).select("feed", F.col("next").alias("file"), F.col("path").alias("old_field"), "entity", "v").distinct()
-    new = values.join(added, ["feed", "file", "path"]).select("feed", "file", F.col("path").alias("new_field"), "entity", "v").distinct()
-    entities = keyed.where("entity is not null").select("feed", "file", "entity").distinct()
-    here = entities.join(swaps, ["feed", "file"], "left_semi")
-    there = entities.join(after, ["feed", "file"]).select("feed", F.col("next").alias("file"), "entity")
-    shared = here.join(there.distinct(), ["feed", "file", "entity"], "left_semi")
-    n_old = old.join(shared, ["feed", "file", "entity"], "left_semi").groupBy("feed", "file", "old_field").agg(F.count_distinct("entity").alias("n_old"))
-    n_new = new.join(shared, ["feed", "file", "entity"], "left_semi").groupBy("feed", "file", "new_field").agg(F.count_distinct("entity").alias("n_new"))
-    agree = old.join(new, ["feed", "file", "entity", "v"]).groupBy("feed", "file", "old_field", "new_field").agg(F.count_distinct("entity").alias("n"))
-    scored = agree.join(n_old, ["feed", "file", "old_field"]).join(n_new, ["feed", "file", "new_field"]).withColumn("share", F.col("n") / F.least("n_old", "n_new")).where(F.col("share") >= SAME_SHARE)
-    best = lambda own, other: Window.partitionBy("feed", "file", own).orderBy(F.desc("share"), F.desc("n"), other)
+    values = path_values(keyed, "feed", "file", "payload", ["entity"]).where("type is not null and entity is not null")
+    values = values.select("feed", "file", "path", "entity", F.xxhash64(F.to_json("value")).alias("v"))
+    rows = values.join(need, ["feed", "file", "path"]).select("feed", "at_file", "entity", "new", "path", "v")
+    # the changed fields of one entity in both files
+    one = rows.groupBy("feed", "at_file", "entity").agg(F.collect_set(F.struct("new", "path", "v")).alias("f"))
+    old, new = F.filter("f", lambda x: ~x["new"]), F.filter("f", lambda x: x["new"])
+    one = one.select("feed", "at_file", old.alias("o"), new.alias("n")).where("size(o) > 0 and size(n) > 0")
+    nothing = F.lit(None).cast("string")
+    pair = lambda a, b: F.struct(a.alias("old_field"), b.alias("new_field"))
+    same = F.flatten(F.transform("o", lambda x: F.transform(F.filter("n", lambda y: y["v"] == x["v"]), lambda y: pair(x["path"], y["path"]))))
+    told = F.array_distinct(F.concat(same, F.transform("o", lambda x: pair(x["path"], nothing)), F.transform("n", lambda y: pair(nothing, y["path"]))))
+    counts = one.select("feed", "at_file", F.explode(told).alias("p")).groupBy("feed", F.col("at_file").alias("file"), "p.old_field", "p.new_field").count()
+    n_old = F.max(F.when(F.col("new_field").isNull(), F.col("count"))).over(Window.partitionBy("feed", "file", "old_field"))
+    n_new = F.max(F.when(F.col("old_field").isNull(), F.col("count"))).over(Window.partitionBy("feed", "file", "new_field"))
+    scored = counts.withColumn("n_old", n_old).withColumn("n_new", n_new).where("old_field is not null and new_field is not null")
+    scored = scored.withColumn("share", F.col("count") / F.least("n_old", "n_new")).where(F.col("share") >= SAME_SHARE)
+    best = lambda own, other: Window.partitionBy("feed", "file", own).orderBy(F.desc("share"), F.desc("count"), other)
     ranked = scored.withColumn("ro", F.row_number().over(best("old_field", "new_field"))).withColumn("rn", F.row_number().over(best("new_field", "old_field")))
     return ranked.where("ro = 1 and rn = 1").select("feed", "file", "old_field", "new_field")
 
