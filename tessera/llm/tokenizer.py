@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,7 +173,7 @@ class Encoder:
 
 def _batches(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most limit bytes of text each (a single longer text is a part of its own)."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     start, total = 0, 0
     for i, n in enumerate(sizes):
         if total and total + n > limit:
