@@ -98,6 +98,7 @@ class Tree:
 
     def __init__(self, words: list[str]):
         self.root: tuple[str, dict] | None = None
+        self.longest = max(map(len, words), default=0)
         for w in sorted(set(words)):
             self._add(w)
 
@@ -117,6 +118,8 @@ class Tree:
 
     def within(self, w: str, r: int) -> list[tuple[int, str]]:
         """Every word at a distance of r at most."""
+        if len(w) - r > self.longest:
+            return []  # longer by more than r edits than any word
         out, todo = [], [self.root] if self.root else []
         while todo:
             word, children = todo.pop()

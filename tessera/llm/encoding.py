@@ -20,6 +20,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pandas as pd
@@ -32,6 +33,8 @@ PAGES = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "iso8859_2", "cp1251
 SWAPS = (("cp1252", "mac_roman"), ("mac_roman", "cp1252"))
 #: Least log-likelihood gain for re-reading a passage, and for the character that gains most in it.
 LEAST_GAIN, LEAST_PEAK = 2.5, 2.0
+#: What well-formed bytes weigh against the statistics of contexts, in log-likelihood a character.
+STRUCTURE = 3.0
 #: Times that text may have been garbled.
 DEPTH = 4
 #: Most different (neighbour, character, neighbour) that go to the driver; bounded by classes, see _near.
@@ -42,14 +45,13 @@ MAX_CONTEXTS = 2_000_000
 def to_bytes(page: str) -> dict[str, int]:
     """Character -> byte from 0x80 on."""
     out = {}
+    if page.startswith(("cp125", "iso8859")):
+        out.update({chr(b): b for b in range(0x80, 0xA0)})
     for b in range(0x80, 0x100):
         try:
             out[bytes([b]).decode(page)] = b
         except UnicodeDecodeError:
             pass
-    if page.startswith(("cp125", "iso8859")):
-        for b in range(0x80, 0xA0):
-            out.setdefault(chr(b), b)
     return out
 
 
@@ -95,19 +97,37 @@ def _hint(page: str) -> re.Pattern:
     return re.compile(f"[{first}][{later}]")
 
 
-def decode_spans(text: str, page: str) -> tuple[str, list[str]]:
-    """The text with its well-formed spans decoded, and the decoded characters."""
+@dataclass(frozen=True)
+class Decoded:
+    """A text with its spans decoded, where they were, and where the decoded characters are."""
+
+    text: str
+    was: list[int]
+    now: list[int]
+
+    @property
+    def got(self) -> list[str]:
+        return [self.text[i] for i in self.now]
+
+
+def decode_spans(text: str, page: str) -> Decoded | None:
+    """The text with its well-formed spans decoded; None if it has none."""
     if not _hint(page).search(text):
-        return text, []
+        return None
     table = to_bytes(page)
     codes = [table.get(c, -1) if c > "\x7f" else -1 for c in text]
-    out, at, got = [], 0, []
+    out, at, n = [], 0, 0
+    was: list[int] = []
+    now: list[int] = []
     for a, b in spans(codes):
         new = bytes(codes[a:b]).decode("utf-8")
-        got += new
+        n += a - at
+        was += range(a, b)
+        now += range(n, n + len(new))
+        n += len(new)
         out += [text[at:a], new]
         at = b
-    return ("".join([*out, text[at:]]), got) if got else (text, got)
+    return Decoded("".join([*out, text[at:]]), was, now) if now else None
 
 
 def _near(c: str) -> str:
@@ -128,6 +148,10 @@ def contexts(text: str) -> Iterator[tuple[str, str, str]]:
 _SIGNS = frozenset("’‘“”–—…½¼¾•°§©®™«»\xa0")
 
 
+#: Characters by which the usual code pages show bytes: text garbled twice goes through them.
+_STEP_CHARS = frozenset(c for page in ("cp1252", "mac_roman", "cp437", "cp850") for c in to_bytes(page))
+
+
 class Model:
     """How usual characters beyond ASCII are between their neighbours."""
 
@@ -143,40 +167,39 @@ class Model:
     def score(self, p: str, c: str, n: str) -> float:
         return math.log(self.n3.get((p, c, n), 0) + 0.05 * min(self.n2[p, c, 0], self.n2[0, c, n]) + 1e-4 * self.n1[c] + 1e-3)
 
-    def text_score(self, text: str) -> float:
-        return sum(self.score(*t) for t in contexts(text))
-
     def _usual(self, c: str) -> bool:
-        """Whether a decoded character may be what was meant: one that the corpus has, a Latin letter or a sign."""
+        """Whether a decoded character may be what was meant, or a step to it: one that the corpus has, a Latin letter,
+        a sign, or a character of the usual code pages."""
         kind = unicodedata.category(c)
-        if kind in ("Cc", "Co", "Cn", "Cs"):
-            return kind == "Cc" and self.n1[c] > 0
-        return self.n1[c] > 0 or kind[0] in "PSZN" or unicodedata.name(c, "").startswith("LATIN")
+        return self.n1[c] > 0 or c in _STEP_CHARS or kind[0] in "PSZN" or unicodedata.name(c, "").startswith("LATIN")
 
-    def unfold(self, text: str) -> str:
-        """The text with UTF-8 spans decoded under the most plausible page, repeatedly.
+    def _mean(self, text: str, places: list[int]) -> float:
+        return sum(self.score(*t) for t in contexts_at(text, places)) / len(places)
 
-        A page must make the characters beyond ASCII more usual where they stand than they were."""
+    def unfold(self, text: str) -> str:
+        """The text with UTF-8 spans decoded, repeatedly, each time under the page whose characters are the most usual
+        where they stand. Bytes don't form characters by chance: the outcome may be somewhat less usual than what was
+        there, if the corpus has its characters at all, and plain signs are always taken."""
+        found, now, least = text, text, None
         for _ in range(DEPTH):
-            best, least = None, None
-            before = None
+            best = None
             for page in PAGES:
-                new, got = decode_spans(text, page)
-                if not got or not all(map(self._usual, got)):
-                    continue
-                if before is None:
-                    before = self.text_score(text) / sum(c > "\x7f" for c in text)
-                left = sum(c > "\x7f" for c in new)
-                now = self.text_score(new) / max(1, left)
-                if now <= before and not all(c in _SIGNS for c in got):
-                    continue
-                rank = (-now, left)
-                if best is None or rank < least:
-                    best, least = new, rank
+                d = decode_spans(now, page)
+                if d and all(map(self._usual, d.got)):
+                    if least is None:
+                        least = self._mean(now, d.was)
+                    # the page that explains the most; of those the one with the most usual result
+                    rank = (-len(d.was), -self._mean(d.text, d.now))
+                    if best is None or rank < best[0]:
+                        best = (rank, d)
             if best is None:
-                return text
-            text = best
-        return text
+                break
+            now, got, mean = best[1].text, best[1].got, -best[0][1]
+            known = all(self.n1[c] > 0 or c in _SIGNS for c in got)
+            if mean > least or (known and mean > least - STRUCTURE) or all(c in _SIGNS for c in got):
+                found = now
+                least = max(least, mean)
+        return found
 
     def reread(self, text: str) -> str:
         """The text with the passage re-read under another single-byte page that gains most, if it gains enough."""
@@ -248,7 +271,7 @@ def learn(df: DataFrame, fields: list[str]) -> Model:
         c: Counter = Counter()
         for b in batches:
             for raw in b["raw"]:
-                c.update(contexts(raw))
+                c.update(set(contexts(raw)))  # values, not occurrences: one long garbled text isn't usage
             if len(c) > 200_000:
                 yield _frame(c)
                 c.clear()

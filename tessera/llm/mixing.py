@@ -24,7 +24,8 @@ def quality(text: Column) -> Column:
     """A weight in [0.05, 1]: short texts and texts of few letters count less. Built-in functions only."""
     n = F.length(text)
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
-    return F.greatest(F.lit(0.05), F.coalesce(F.least(F.lit(1.0), n / 400.0) * F.least(F.lit(1.0), letters / (F.greatest(n, F.lit(1)) * 0.75)), F.lit(0.05)))
+    share = F.least(F.lit(1.0), n / 400.0) * F.least(F.lit(1.0), letters / (F.greatest(n, F.lit(1)) * 0.75))
+    return F.when(text.isNull(), 0.05).otherwise(F.greatest(F.lit(0.05), share))
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
@@ -35,6 +36,7 @@ def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> Da
     With a total given, a source that can't fill its share within max_repeat falls short, and the report says so.
     Listed twice, a source counts with its first share by value. Null shares and repeats count as 0.
     """
+    sizes = sizes.select("source", "available", "n_docs")
     listed = targets.where("source is not null").groupBy("source").agg(F.min(F.coalesce("target_share", F.lit(0.0))).alias("target_share"), F.min(F.coalesce("max_repeat", F.lit(0))).alias("max_repeat"))
     have = F.broadcast(listed).join(sizes, "source", "left").withColumn("available", F.coalesce("available", F.lit(0)))
     everything = Window.partitionBy(F.lit(0))  # a table of sources: at most MAX_SOURCES rows
@@ -58,7 +60,7 @@ def mixed(docs: DataFrame, targets: DataFrame, total: float | None = None, seed:
     if targets.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} target sources")
     names = F.broadcast(targets.select("source").where("source is not null").distinct())
-    used = docs.where("n_tokens > 0").join(names, "source", "left_semi")
+    used = docs.select("doc_id", "source", "n_tokens", "weight").where("n_tokens > 0").join(names, "source", "left_semi")
     sizes = used.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("n_docs"))
     plans = plan(sizes, targets, total).where("available > 0 and max_repeat > 0").persist()
     n_docs = plans.agg(F.sum("n_docs")).first()[0] or 0
