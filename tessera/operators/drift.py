@@ -172,6 +172,9 @@ def unified(df: DataFrame, payload: str, names: dict[str, str], types: dict[str,
             at = F.variant_get(record, f"$['{name}']", "variant")
             at = F.when(~F.is_variant_null(at), at)
             raw = at if raw is None else F.coalesce(raw, at)
+        if raw is None:  # no file has such a field
+            out.append(F.lit(None).cast(kind).alias(field))
+            continue
         t = F.schema_of_variant(raw)
         inner = F.when(t.startswith("OBJECT"), F.try_variant_get(raw, "$.value", "variant")).when(t.startswith("ARRAY"), F.try_variant_get(raw, "$[0]", "variant")).otherwise(raw)
         value = F.try_variant_get(inner, "$", kind)

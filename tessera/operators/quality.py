@@ -28,6 +28,10 @@ def one_pattern(patterns: list[str]) -> str:
     return java_regex("^(?:" + "|".join(f"(?:{p})" for p in kept) + ")$") if kept else "(?!)"
 
 
+def _all_like(attribute: str, rule: str) -> Column:
+    return F.forall(F.col(attribute), lambda x: F.coalesce(x.rlike(rule), F.lit(False)))
+
+
 def conformance(df: DataFrame, patterns: dict[str, list[str]], label: Column | None = None) -> DataFrame:
     """(attribute, passed, total, example): how many non-null values of each attribute conform to its patterns, and the
     lowest that doesn't. An array conforms if all its elements do. All attributes are counted in one pass."""
@@ -35,7 +39,7 @@ def conformance(df: DataFrame, patterns: dict[str, list[str]], label: Column | N
     for a, ps in patterns.items():
         rule = one_pattern(ps)
         is_array = isinstance(df.schema[a].dataType, T.ArrayType)
-        ok = F.forall(F.col(a), lambda x, rule=rule: F.coalesce(x.rlike(rule), F.lit(False))) if is_array else F.col(a).cast("string").rlike(rule)
+        ok = _all_like(a, rule) if is_array else F.col(a).cast("string").rlike(rule)
         shown = F.to_json(F.col(a)) if is_array else F.col(a).cast("string")
         text = F.concat(shown, F.lit(" ("), label, F.lit(")")) if label is not None else shown
         parts.append(F.struct(F.lit(a).alias("attribute"), F.col(a).isNotNull().alias("there"), ok.alias("ok"), text.alias("text")))

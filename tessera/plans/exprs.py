@@ -144,7 +144,7 @@ class Expressions:
             if v.dynamic:
                 pieces.append(V.as_array(v))
             elif isinstance(t, T.VariantType):
-                pieces.append(F.transform(v.col, lambda x, v=v: V.to_variant(Val(x, v.type.elementType))))
+                pieces.append(_dynamic_elements(v))
             else:
                 pieces.append(v.col.cast(T.ArrayType(t)))
         if run:
@@ -325,6 +325,10 @@ def _groups(pair) -> list[str | None] | None:  # noqa: ANN001
     return [m.group(), *m.groups()] if m else None
 
 
+def _dynamic_elements(v: Val) -> Column:
+    return F.transform(v.col, lambda x: V.to_variant(Val(x, v.type.elementType)))
+
+
 def _chars(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.filter(F.split(text, ""), lambda c: c != ""))
 
