@@ -6,11 +6,13 @@ fractional selection, and no document is used more often than its source allows.
 
 The order within a source is never made in one task, as one source may hold a third of all documents: keys fall into
 buckets, bucket sums are aggregated (a small table of sources times buckets) and prefix-summed, whole buckets are taken
-or left, and only the one bucket per source in which the budget ends is sorted.
+or left, and only the bucket per source in which the budget ends is sorted, with the few after it: there, documents that
+would exceed the budget are passed over, so that a very long one doesn't leave a source short.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,22 +66,40 @@ def mixed(docs: DataFrame, targets: DataFrame, total: float | None = None, seed:
     sizes = used.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("n_docs"))
     plans = plan(sizes, targets, total).where("available > 0 and max_repeat > 0").persist()
     n_docs = plans.agg(F.sum("n_docs")).first()[0] or 0
-    buckets = int(max(16, min(1_000_000, n_docs // BUCKET_DOCS)))
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(1e-3)
-    keyed = used.withColumn("key", -F.log(u) / weight)
-    keyed = keyed.withColumn("bucket", F.least(F.lit(buckets - 1), F.floor((1 - F.exp(-F.col("key"))) * buckets)).cast("int"))
-    sums = keyed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("tokens"))
+    # the logarithm of an exponential key is spread over a few units whatever the weights: no bucket holds much more than
+    # a third of its unit's share
+    per_unit = float(max(4, min(4_000, n_docs // BUCKET_DOCS)))
+    keyed = used.withColumn("key", -F.log(u) / weight).withColumn("bucket", F.floor(F.log("key") * per_unit))
+    sums = keyed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = sums.withColumn("upto", F.sum("tokens").over(upto)).join(F.broadcast(plans.select("source", "rest")), "source").where("upto > rest").groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("tokens")).alias("before"))).alias("e"))
-    steps = plans.join(ends, "source", "left").select("source", "epochs", "rest", F.coalesce("e.bucket", F.lit(buckets)).alias("end"), F.coalesce("e.before", F.lit(0)).alias("before"))
+    sums = sums.withColumn("upto", F.sum("tokens").over(upto)).withColumn("seen", F.sum("n").over(upto) - F.col("n")).join(F.broadcast(plans.select("source", "rest")), "source").where("upto > rest")
+    # from the bucket in which the budget is exceeded on, as many as hold about BUCKET_DOCS documents
+    first = Window.partitionBy("source")
+    sums = sums.withColumn("from", F.min("seen").over(first)).where(F.col("seen") < F.col("from") + BUCKET_DOCS)
+    ends = sums.groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("tokens")).alias("before"))).alias("e"), F.max("bucket").alias("stop"))
+    steps = plans.join(ends, "source", "left").select("source", "epochs", "rest", F.col("e.bucket").alias("end"), "stop", F.coalesce("e.before", F.lit(0)).alias("before"))
     at = keyed.join(F.broadcast(steps), "source")
-    whole = at.where("bucket < end").withColumn("copies", F.col("epochs") + 1)
-    after = at.where("bucket > end").withColumn("copies", F.col("epochs"))
-    order = Window.partitionBy("source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = at.where("bucket = end").withColumn("sum", F.sum("n_tokens").over(order) + F.col("before")).withColumn("copies", F.col("epochs") + (F.col("sum") <= F.col("rest")).cast("long"))
+    taken = at.where("end is null or bucket < end or bucket > stop").withColumn("copies", F.col("epochs") + F.when(F.col("end").isNull() | (F.col("bucket") < F.col("end")), 1).otherwise(0))
     cols = ["doc_id", "source", "n_tokens", F.col("copies").cast("int").alias("copies")]
-    return whole.select(cols).unionByName(after.select(cols)).unionByName(edge.select(cols)).where("copies > 0")
+    edge = at.where("bucket between end and stop").select("doc_id", "source", "n_tokens", "key", "epochs", F.col("rest").cast("long").alias("rest"), F.col("before").cast("long").alias("before"))
+    kind = used.schema["doc_id"].dataType.simpleString()
+    filled = edge.groupBy("source").applyInPandas(_fill, f"doc_id {kind}, source string, n_tokens long, copies int")
+    return taken.select(cols).unionByName(filled).where("copies > 0")
+
+
+def _fill(bucket: pd.DataFrame) -> pd.DataFrame:
+    """The last documents of a source, in the order of their keys: what still fits the budget is used once more."""
+    bucket = bucket.sort_values(["key", "doc_id"], kind="stable")
+    left = int(bucket["rest"].iloc[0] - bucket["before"].iloc[0])
+    more = []
+    for n in bucket["n_tokens"]:
+        more.append(int(n <= left))
+        left -= n if n <= left else 0
+    out = bucket[["doc_id", "source", "n_tokens"]].copy()
+    out["copies"] = (bucket["epochs"] + more).astype("int32")
+    return out
 
 
 def shares(mix: DataFrame, docs: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
