@@ -16,6 +16,7 @@ import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ SHARE = 0.0005
 #: Sources with few values lean on all sources as if these many values came from them.
 PRIOR = 20.0
 ACCEPT = 0.5
-#: Listed names are sent to the executors in shards of this many.
-SHARD = 50_000
+#: Listed names are sent to the executors in shards of this many, and no more than MAX_NAMES of them.
+SHARD, MAX_NAMES = 50_000, 1_000_000
 #: Up to this many (source, field) pairs the inferred delimiters are broadcast, beyond they are joined by shuffle.
 BROADCAST_SOURCES = 100_000
 
@@ -59,24 +60,36 @@ def _delimiter(delims: tuple[str, ...]) -> re.Pattern:
 
 
 class Names:
-    """The listed names that hold a candidate delimiter; finds them in a value by how they look."""
+    """Listed names; finds those that hold a candidate delimiter in a value by how they look, with one automaton."""
 
     def __init__(self, names: Iterable[str]):
-        self.all = {skeleton(n) for n in names if n}
-        held = sorted((n for n in self.all if _delimiter(CANDIDATES).search(n)), key=lambda n: (-len(n), n))
-        self.pattern = re.compile("|".join(map(re.escape, held))) if held else None
+        self.all = {skeleton(n) for n in names if n} - {""}
+        self.automaton = ahocorasick.Automaton()
+        for n in self.all:
+            if _delimiter(CANDIDATES).search(n):
+                self.automaton.add_word(n, len(n))
+        if len(self.automaton):
+            self.automaton.make_automaton()
 
     def spans(self, value: str) -> list[tuple[int, int]]:
-        if self.pattern is None:
+        """Where a name stands, as a whole word; of overlapping ones the first, of those the longest."""
+        if not len(self.automaton):
             return []
         drawn, origin = skeleton_with_origin(value)
-        out = []
-        for m in self.pattern.finditer(drawn):
-            a, b = m.span()
-            if (a and is_word(drawn[a - 1])) or (b < len(drawn) and is_word(drawn[b])):
-                continue
-            out.append((origin[a], origin[b - 1] + 1))
-        return out
+        found = []
+        for last, n in self.automaton.iter(drawn):
+            a, b = last - n + 1, last + 1
+            if not (a and is_word(drawn[a - 1])) and not (b < len(drawn) and is_word(drawn[b])):
+                found.append((a, -b))
+        return _apart([(origin[a], origin[-b - 1] + 1) for a, b in sorted(found)])
+
+
+def _apart(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s in spans:
+        if not out or s[0] >= out[-1][1]:
+            out.append(s)
+    return out
 
 
 _names_cache: dict[tuple[str, ...], Names] = {}
@@ -113,16 +126,21 @@ def _void(piece: str) -> bool:
     return not piece or all(c.isspace() or invisible(c) for c in piece)
 
 
-def split_value(value: str, delims: tuple[str, ...], names: Names, known: frozenset[str] = frozenset()) -> list[str]:
+def _unbracketed(value: str) -> str:
+    text = value.strip()
+    return text[1:-1].strip() if len(text) > 1 and text[0] == "[" and text[-1] == "]" else text
+
+
+def split_value(value: str, delims: tuple[str, ...], names: Names, known: frozenset[str] = frozenset(), guarded: list[tuple[int, int]] | None = None) -> list[str]:
     """The values packed in one string, in order, without empty ones.
 
     A quoted stretch that begins and ends at a delimiter is one value; so is a listed name or what looks like one. A
     line break separates values only where no other accepted delimiter does; otherwise it is a break inside a name.
+    guarded: where names stand in the value, if that is known already.
     """
-    text = value.strip()
-    if len(text) > 1 and text[0] == "[" and text[-1] == "]":
-        text = text[1:-1].strip()
-    guarded = names.spans(text)
+    text = _unbracketed(value)
+    if guarded is None:
+        guarded = names.spans(text)
     inline = tuple(d for d in delims if d != "\n")
     pieces = _cut(text, inline, guarded)
     if "\n" in delims and "\n" in text and len(pieces) == 1:
@@ -189,7 +207,7 @@ def _closing(text: str, i: int, pattern: re.Pattern) -> int:
 def _profile(value: str, names: Names, known: frozenset[str]) -> list[tuple[str, int, int]]:
     """For each candidate in the value, alone: how many pieces it makes and how many of them are of a known type."""
     out = []
-    text = value.strip().strip("[]")
+    text = _unbracketed(value)
     guarded = names.spans(text)
     for d in CANDIDATES:
         if d in text and (d != " " or not any(x in text for x in ";|\t•·,/&+\n")):
@@ -260,15 +278,31 @@ def _sums(sums: dict) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["src", "field", "d", "n", "p", "pp", "k"])
 
 
-def _collect_names(names: DataFrame | None, col: str) -> tuple[str, ...]:
-    """Listed names that hold a delimiter or may stand as a piece. The list is sent to the executors, so its size is
-    checked: beyond SHARD entries only names with a delimiter in them are sent (no others can be cut apart)."""
+def _collect_names(names: DataFrame | None, col: str) -> list[tuple[str, ...]]:
+    """The listed names in shards of about SHARD, as they are sent to the executors; at most MAX_NAMES."""
     if names is None:
-        return ()
+        return [()]
     listed = names.select(F.col(col).cast("string").alias("n")).where("n is not null").distinct()
-    if len(rows := listed.limit(SHARD + 1).collect()) > SHARD:
-        rows = listed.where(F.col("n").rlike(r"[;|\t•·,/&+\n\s]")).collect()
-    return tuple(sorted(r["n"] for r in rows))
+    rows = sorted(r["n"] for r in listed.limit(MAX_NAMES + 1).collect())
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} listed names")
+    return [tuple(rows[i : i + SHARD]) for i in range(0, len(rows), SHARD)] or [()]
+
+
+def _guarded(long: DataFrame, field: str, shards: list[tuple[str, ...]]) -> DataFrame:
+    """long with the column guard: for the field's values, where a name of any shard stands, as start, end, start, ..."""
+    for shard in shards:
+        find = _finder(long.sparkSession.sparkContext.broadcast(shard))
+        long = long.withColumn("guard", F.concat("guard", F.when(F.col("field") == field, find("raw")).otherwise(F.array().cast("array<int>"))))
+    return long
+
+
+def _finder(shard):  # noqa: ANN001, ANN202
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def find(raw: pd.Series) -> pd.Series:
+        return pd.Series([[i for span in _names(shard.value).spans(_unbracketed(r)) for i in span] for r in raw])
+
+    return find
 
 
 def split_packed(
@@ -286,24 +320,34 @@ def split_packed(
     An empty table gives an empty result.
     """
     long = _long(df, id_col, source_col, fields)
-    listed = {f: _collect_names(*t) for f, t in (names or {}).items()}
+    shards = {f: _collect_names(*t) for f, t in (names or {}).items()}
+    # one shard goes along with the functions; more are looked for one after another before the split
+    listed = {f: s[0] for f, s in shards.items()}
+    many = {f: s for f, s in shards.items() if len(s) > 1}
     known = vocabulary(long)
     found = infer_delimiters(long, listed, known).persist()
     small = found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     rest = found.where("src is null").select("field", F.col("delims").alias("rest"))
     own = found.where("src is not null")
+    if many:
+        long = long.withColumn("guard", F.array().cast("array<int>"))
+        for f, parts in many.items():
+            long = _guarded(long, f, parts)
+    else:
+        long = long.withColumn("guard", F.lit(None).cast("array<int>"))
     with_own = long.join(F.broadcast(own) if small else own, ["src", "field"], "left").join(F.broadcast(rest), ["field"], "left")
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(field: pd.Series, raw: pd.Series, delims: pd.Series) -> pd.Series:
+    def split(field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series) -> pd.Series:
         memo: dict[tuple, list[str]] = {}
         out = []
-        for f, r, d in zip(field, raw, delims):
+        for f, r, d, g in zip(field, raw, delims, guard):
             key = (f, r, d)
             if key not in memo:
-                memo[key] = split_value(r, tuple(d.split("\u001f")) if d else (), _names(listed.get(f, ())), known.get(f, frozenset()))
+                spans = _apart(sorted(zip(g[::2], g[1::2]), key=lambda x: (x[0], -x[1]))) if f in many else None
+                memo[key] = split_value(r, tuple(d.split("\u001f")) if d else (), _names(listed.get(f, ())), known.get(f, frozenset()), spans)
             out.append(memo[key])
         return pd.Series(out)
 
-    items: Column = split("field", "raw", F.coalesce("delims", "rest", F.lit("")))
+    items: Column = split("field", "raw", F.coalesce("delims", "rest", F.lit("")), "guard")
     return with_own.select("rid", "field", items.alias("items")).select("rid", "field", F.size("items").alias("n_items"), F.posexplode("items").alias("p0", "item")).select(F.col("rid").alias(id_col), "field", (F.col("p0") + 1).cast("int").alias("pos"), "item", "n_items")

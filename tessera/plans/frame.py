@@ -23,6 +23,8 @@ _numbers = itertools.count()
 
 #: Rows of a source that form one bucket when adjacent rows are compared; buckets are compared through their ends.
 BUCKET = 65_536
+#: Ranges into which rows ordered by a text are cut, and the values of which the cuts are taken.
+RANGES, SAMPLED = 128, 4_096
 
 
 def fresh(prefix: str = "c") -> str:
@@ -251,6 +253,18 @@ def join_condition(a: Val, b: Val) -> Column:
     return V.compatible(a, b)
 
 
+def _range_of(df: DataFrame, column: str) -> Column:
+    """The number of the range in which a text of the order falls. The cuts come from a bounded sample of the values,
+    one for each of SAMPLED hashes: they only balance the buckets, any cuts give the same runs."""
+    h = F.xxhash64(column)
+    sample = df.groupBy(F.pmod(h, F.lit(SAMPLED))).agg(F.min_by(column, h).alias("x")).collect()
+    values = sorted({r["x"] for r in sample if r["x"] is not None})
+    cuts = values[:: max(1, len(values) // RANGES)][1:]
+    if not cuts:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(column)))
+
+
 def run_ids(frame: Frame, keys: list[str]) -> tuple[Frame, str]:
     """Numbers the runs of adjacent rows with equal keys. Rows are compared within buckets of the source order in
     parallel; the few rows at the ends of buckets are compared in a table of buckets."""
@@ -261,8 +275,7 @@ def run_ids(frame: Frame, keys: list[str]) -> tuple[Frame, str]:
     order = list(f.order)
     numeric = [o for o in order[:2] if isinstance(df.schema[o].dataType, T.LongType)]
     if len(order) < 2 or len(numeric) < 2:
-        # one column of order, or one that is a text: rows that are equal in it are one bucket
-        bucket = [F.floor(F.col(order[0]) / BUCKET)] if order and isinstance(df.schema[order[0]].dataType, T.LongType) else [F.col(order[0])] if order else [F.lit(0)]
+        bucket = [F.floor(F.col(order[0]) / BUCKET)] if order and isinstance(df.schema[order[0]].dataType, T.LongType) else [_range_of(df, order[0])] if order else [F.lit(0)]
     else:
         bucket = [F.col(order[0]), F.floor(F.col(order[1]) / BUCKET)]
     bs = [fresh("b") for _ in bucket]

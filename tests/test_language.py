@@ -296,6 +296,16 @@ def test_runs_over_bucket_ends(spark, monkeypatch):
     assert values(s, "MATCH {k, i} WITH k, i[] AS xs") == [["a", list(range(8))], ["a", list(range(11, 20))], ["b", [8, 9, 10]]]
 
 
+def test_runs_in_the_order_of_a_text(spark, monkeypatch):
+    from tessera.plans import frame
+
+    monkeypatch.setattr(frame, "RANGES", 4)
+    s = Session(spark)
+    s.create(spark.createDataFrame([("a" if i // 7 % 2 else "b", f"{i:03}") for i in range(60)], "k string, t string"))
+    got = values(s, "MATCH {k, t} ORDER BY t WITH k, t[] AS ts")
+    assert sorted(len(ts) for _, ts in got) == [4, *[7] * 8] and sorted(x for _, ts in got for x in ts) == [f"{i:03}" for i in range(60)]
+
+
 def test_union_and_nulls_for_absent_columns(store):
     got, cols = run(store, 'MATCH {name: "x" AS name} RETURN {name} UNION MATCH {set: "B" AS set} RETURN {set} UNION MATCH {name: "y" AS name} RETURN {name}')
     assert cols == ["name", "set"] and got == [["x", None], ["y", None], [None, "B"]]

@@ -72,6 +72,21 @@ def test_a_blank_within_listed_names_is_no_delimiter(spark, rows):
     assert {r[3] for r in got} == {"Old Town", "New Town"}
 
 
+def test_many_names_in_shards(spark, rows, monkeypatch):
+    from tessera.operators import packed
+
+    ref = spark.createDataFrame([(f"Old {c}, New {c}",) for c in "abcdefgh"], "name string")
+    data = [(i, "s", f"Old {'abcdefgh'[i % 8]}, New {'abcdefgh'[i % 8]}, Red", "", 0, "") for i in range(24)] + [(90 + i, "s", x, "", 0, "") for i, x in enumerate(["Red", "Red", "Blue", "Blue", "Red, Blue"])]
+    names = {"skills": (ref, "name")}
+    one = rows(split_packed(_table(spark, data), "rid", ["skills"], "src", names))
+    monkeypatch.setattr(packed, "SHARD", 3)
+    assert rows(split_packed(_table(spark, data), "rid", ["skills"], "src", names)) == one
+    assert (0, "skills", 1, "Old a, New a", 2) in one
+    monkeypatch.setattr(packed, "MAX_NAMES", 3)
+    with pytest.raises(ValueError, match="listed names"):
+        split_packed(_table(spark, data), "rid", ["skills"], "src", names)
+
+
 def test_empty_table(spark):
     assert split_packed(_table(spark, []), "rid", ["skills", "item"], "src").collect() == []
 

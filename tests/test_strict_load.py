@@ -93,4 +93,4 @@ def test_empty_table_and_other_format(spark):
     assert rejects(df, "line_id", "raw").collect() == []
     fmt = LineFormat(("a", "b"), (("b", r"\A[0-9]+\z"),))
     df = spark.createDataFrame([(1, "x,12"), (2, "x,y")], "line_id long, raw string")
-    assert [r["line_id"] for r in strict_load(df, "line_id", "raw", fmt).collect()] == [1]
+    assert [r["offset_id"] for r in strict_load(df, "line_id", "raw", fmt).collect()] == [1]
