@@ -97,6 +97,12 @@ def _hint(page: str) -> re.Pattern:
     return re.compile(f"[{first}][{later}]")
 
 
+@lru_cache(maxsize=None)
+def _any_hint() -> re.Pattern:
+    """What any page has a hint of, so that most right texts are passed over at once."""
+    return re.compile("|".join(_hint(p).pattern for p in PAGES))
+
+
 @dataclass(frozen=True)
 class Decoded:
     """A text with its spans decoded, where they were, and where the decoded characters are."""
@@ -130,6 +136,7 @@ def decode_spans(text: str, page: str) -> Decoded | None:
     return Decoded("".join([*out, text[at:]]), was, now) if now else None
 
 
+@lru_cache(maxsize=65536)
 def _near(c: str) -> str:
     """The class of a neighbour: a Latin letter without accent and case, a blank, a digit, an ASCII mark, or other."""
     if c.isalpha():
@@ -163,8 +170,15 @@ class Model:
             self.n2[p, c, 0] += k
             self.n2[0, c, n] += k
             self.n1[c] += k
+        self.seen: dict[tuple[str, str, str], float] = {}  # bounded as the contexts are
 
     def score(self, p: str, c: str, n: str) -> float:
+        got = self.seen.get((p, c, n))
+        if got is None:
+            got = self.seen[p, c, n] = self._score(p, c, n)
+        return got
+
+    def _score(self, p: str, c: str, n: str) -> float:
         return math.log(self.n3.get((p, c, n), 0) + 0.05 * min(self.n2[p, c, 0], self.n2[0, c, n]) + 1e-4 * self.n1[c] + 1e-3)
 
     def _usual(self, c: str) -> bool:
@@ -183,6 +197,8 @@ class Model:
         found, now, least = text, text, None
         for _ in range(DEPTH):
             best = None
+            if not _any_hint().search(now):
+                break
             for page in PAGES:
                 d = decode_spans(now, page)
                 if d and all(map(self._usual, d.got)):
@@ -206,14 +222,10 @@ class Model:
         places = [i for i, c in enumerate(text) if c > "\x7f"]
         best, found = LEAST_GAIN, text
         for page, read_as in SWAPS:
-            table = to_bytes(read_as)
+            table = _reread(page, read_as)
             new = list(text)
             for i in places:
-                b = table.get(text[i])
-                try:
-                    new[i] = bytes([b]).decode(page) if b else ""
-                except UnicodeDecodeError:
-                    new[i] = ""
+                new[i] = table.get(text[i], "")
             changed = "".join(c or text[i] for i, c in enumerate(new))
             gains = []
             for i, old, re_read in zip(places, contexts(text), contexts_at(changed, places)):
@@ -241,6 +253,13 @@ class Model:
         return "" if "�" in new else new
 
 
+@lru_cache(maxsize=None)
+def _reread(page: str, read_as: str) -> dict[str, str]:
+    """Character of one page -> the character that its byte is in the other."""
+    back = {b: c for c, b in to_bytes(page).items()}
+    return {c: back[b] for c, b in to_bytes(read_as).items() if b in back and not "\x80" <= back[b] < "\xa0"}
+
+
 def contexts_at(text: str, places: list[int]) -> Iterator[tuple[str, str, str]]:
     for i in places:
         yield _near(text[i - 1]) if i else "^", text[i], _near(text[i + 1]) if i + 1 < len(text) else "$"
@@ -310,8 +329,9 @@ def garbled(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
                         memo.clear()
                     memo[raw] = cache[0].restore(raw)
                 got.append(memo[raw])
-            b["restored"] = got
-            yield b[b["restored"].notna()]
+            if any(x is not None for x in got):
+                b["restored"] = got
+                yield b[b["restored"].notna()]
 
     long = _long(df, id_col, fields)
     kind = long.schema["rid"].dataType.simpleString()

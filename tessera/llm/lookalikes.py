@@ -61,7 +61,8 @@ def count_units(df: DataFrame, fields: list[str]) -> dict[str, int]:
             if len(c) > 200_000:
                 yield pd.DataFrame({"unit": list(c.keys()), "n": list(c.values())})
                 c.clear()
-        yield pd.DataFrame({"unit": list(c.keys()), "n": list(c.values())})
+        if c:  # a task without rows gives nothing: an empty column has no type to convert
+            yield pd.DataFrame({"unit": list(c.keys()), "n": list(c.values())})
 
     parts = df.select(*[F.col(f).cast("string") for f in fields]).mapInPandas(count, "unit string, n long")
     rows = parts.groupBy("unit").agg(F.sum("n").alias("n")).limit(MAX_UNITS + 1).collect()

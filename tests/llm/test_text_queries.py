@@ -26,6 +26,22 @@ def test_runs(spark, name):
     assert df.count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_tasks_without_rows(spark, tmp_path, name):
+    """Tables of many parts, most of them empty, and a scan of more tasks than rows."""
+    for f in os.listdir(DIR):
+        table = spark.read.parquet(f"{DIR}/{f}")
+        (table.limit(30) if f.startswith(("card.", "documents", "level")) else table).coalesce(1).write.parquet(str(tmp_path / f))
+        table.limit(0).write.mode("append").parquet(str(tmp_path / f))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        queries.queries()[name](spark, str(tmp_path)).count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_garbled_names_are_no_look_alike_cases(spark):
     found = queries.p3_found(spark, DIR).select("rec_id", "field")
     garbled = queries.p5_found(spark, DIR).select("rec_id", "field")
