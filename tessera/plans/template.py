@@ -112,7 +112,7 @@ class _Expression:
             while not self.accept("mark", "]"):
                 items.append(self.constant())
                 self.accept("mark", ",")
-            return items
+            return tuple(items)
         word = str(self.expect("name")).lower()
         if word not in ("none", "true", "false"):
             raise TemplateError(f"{word} is no constant")
@@ -412,7 +412,24 @@ def _nested(store: dict, prefix: str = "") -> object:
     return out
 
 
+@dataclass(frozen=True, eq=False)
+class Chain:
+    """A list that a loop has collected so far: alternatives share what came before."""
+
+    before: Chain | None
+    value: object
+
+    def items(self) -> list:
+        out, at = [], self
+        while at is not None:
+            out.append(at.value)
+            at = at.before
+        return out[::-1]
+
+
 def _plain(v: object) -> object:
+    if isinstance(v, Chain):
+        v = v.items()
     if isinstance(v, tuple | list):
         return [_plain(x) for x in v]
     return {k: _plain(x) for k, x in v.items()} if isinstance(v, dict) else v
@@ -511,9 +528,9 @@ class Template:
                     if store.get(f"\0{start_pc}") == pos:
                         break  # a round that takes nothing would go on for ever
                     value = _nested({k: v for k, v in store.items() if k[0] != "\0"}, item)
-                    seen = store.get(items, ())
+                    seen = store.get(items)
                     store = {k: v for k, v in store.items() if k != item and not k.startswith(item + ".") and k != f"\0{start_pc}"}
-                    store[items] = (*seen, value)
+                    store[items] = Chain(seen if isinstance(seen, Chain) else None, value)
                     pc = start_pc
                 else:  # end
                     if pos == len(text):

@@ -32,12 +32,13 @@ TYPE: {{ card.type }}<br>
         ("<p>{{ x }}</p><i>It is {{ x }}.</i>", "<p>a</p><i>It is b.</i>", (False, "Expected 'a' at 1:18")),
         ("{% for c in cs %}<p>{{ c.n }}</p>{{ c.t }}<br>{% endfor %}", "<p>A</p>x<br><p>B</p>y<br>", (True, {"cs": [{"n": "A", "t": "x"}, {"n": "B", "t": "y"}]})),
         ("<q>{% for n in a.ns %}<p>{{ n }}</p>{% endfor %}</q>", "<q></q>", (True, {"a": {"ns": []}})),
-        ("{% for c in cs %}<p>{{ c }}</p><i w='{{ w }}'>{% endfor %}", "<p>A</p><i w='2'><p>B</p><i w='3'>", (False, "Expected '2' at 1:33")),
+        ("{% for c in cs %}<p>{{ c }}</p><i w='{{ w }}'>{% endfor %}", "<p>A</p><i w='2'><p>B</p><i w='3'>", (False, "Expected '2' at 1:32")),
         ("{{ t }}{% if _b %}<br>{% endif %}", "x<br>", (True, {"_b": True, "t": "x"})),
         ("{{ t }}{% if _b %}<br>{% endif %}", "x", (True, {"_b": False, "t": "x"})),
         ("{% if k == 'a' %}1{% else %}2{% endif %}", "2", (True, {})),
         ("{# a remark #}<p>", "<p>", (True, {})),
         ("{{ a }}", "", (True, {"a": ""})),
+        ("{% if c.k == [] %}none{% else %}{% for x in c.k %}<p>{{ x }}</p>{% endfor %}{% endif %}", "none", (True, {"c": {"k": []}})),
         ("{% for c in cs %}{{ c }}{% endfor %}<p>", "<p>", (True, {"cs": []})),
         (CARD, "<h2>A</h2>TYPE: Hero<br>CLASS: c<br>Unique.<br>", (True, {"card": {"class": "c", "name": "A", "text": "Unique.", "type": "Hero"}})),
         (CARD, "<h2>A</h2>TYPE: Thing<br>Unique.<br>", (True, {"card": {"class": None, "name": "A", "text": "Unique.", "type": "Thing"}})),
