@@ -31,11 +31,14 @@ def quality(text: Column) -> Column:
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
-    """(source, target_share, max_repeat, available, budget, epochs, rest): what to take of each listed source.
+    """(source, target_share, max_repeat, available, budget, epochs, rest, wanted): what to take of each listed source.
+
+    wanted: the source's target share (of the sum of the listed ones) of the mix, whether or not it has it.
 
     total: tokens of the mix. By default the most that all sources with documents can fill at their target shares, so
     that the shares come out as wished; the share of sources without any document falls to the others in proportion.
-    With a total given, a source that can't fill its share within max_repeat falls short, and the report says so.
+    That lets the scarcest source size the mix; corpus_total() is a total that follows the corpus. With a total given,
+    a source that can't fill its share within max_repeat falls short, and the report says so.
     Listed twice, a source counts with its first share by value. Null shares and repeats count as 0.
     """
     sizes = sizes.select("source", "available", "n_docs")
@@ -49,9 +52,20 @@ def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> Da
     size = F.lit(float(total)) if total is not None else F.coalesce(most, F.lit(0.0))
     budget = F.floor(F.least(F.col("share") * size + 1e-6, (F.col("available") * F.col("max_repeat")).cast("double")))
     out = have.withColumn("budget", budget).withColumn("epochs", F.when(usable, F.floor(F.col("budget") / F.col("available"))).otherwise(0))
+    listed_share = F.greatest(F.col("target_share"), F.lit(0.0))
+    all_shares = F.sum(listed_share).over(everything)
+    out = out.withColumn("wanted", F.coalesce(F.floor(listed_share / F.when(all_shares > 0, all_shares) * size + 1e-6), F.lit(0)))
     return out.withColumn("rest", F.when(usable, F.col("budget") - F.col("epochs") * F.col("available")).otherwise(0)).drop("share")
 
 
+def corpus_total(docs: DataFrame, targets: DataFrame) -> float:
+    """All tokens of the sources listed with a share and a repeat, each document once: the total of a mix that no
+    scarce source makes small. 0 if there are none."""
+    usable = targets.where("source is not null").groupBy("source").agg(F.min(F.coalesce("target_share", F.lit(0.0))).alias("s"), F.min(F.coalesce("max_repeat", F.lit(0))).alias("r")).where("s > 0 and r > 0")
+    used = docs.where("n_tokens > 0").join(F.broadcast(usable.select("source")), "source", "left_semi")
+    return float(used.agg(F.sum("n_tokens")).first()[0] or 0)
+
+
 def mixed(docs: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 7) -> DataFrame:
     """(doc_id, source, n_tokens, copies) of every document that is used at least once.
 
@@ -103,12 +117,14 @@ def _fill(bucket: pd.DataFrame) -> pd.DataFrame:
 
 
 def shares(mix: DataFrame, docs: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
-    """(source, target_share, max_repeat, available, budget, tokens, uses, docs, most_copies, actual_share) of every
-    listed source."""
+    """(source, target_share, max_repeat, available, budget, tokens, uses, docs, most_copies, actual_share, shortfall,
+    unused) of every listed source. shortfall: tokens that the source lacks of its target share of the whole mix asked
+    for; unused: tokens of its documents that aren't in the mix at all."""
     names = F.broadcast(targets.select("source").where("source is not null").distinct())
     sizes = docs.where("n_tokens > 0").join(names, "source", "left_semi").groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("n_docs"))
-    got = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("uses"), F.count("*").alias("docs"), F.max("copies").alias("most_copies"))
+    got = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.sum("copies").alias("uses"), F.count("*").alias("docs"), F.max("copies").alias("most_copies"), F.sum("n_tokens").alias("touched"))
     out = plan(sizes, targets, total).join(F.broadcast(got), "source", "left")
     zero = {c: F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("available", "budget", "tokens", "uses", "docs", "most_copies")}
     all_tokens = F.sum(F.coalesce("tokens", F.lit(0))).over(Window.partitionBy(F.lit(0)))
-    return out.select("source", "target_share", "max_repeat", *zero.values(), F.coalesce(F.coalesce("tokens", F.lit(0)) / F.when(all_tokens > 0, all_tokens), F.lit(0.0)).alias("actual_share"))
+    short = F.greatest(F.lit(0), F.col("wanted") - F.coalesce("tokens", F.lit(0)))
+    return out.select("source", "target_share", "max_repeat", *zero.values(), F.coalesce(F.coalesce("tokens", F.lit(0)) / F.when(all_tokens > 0, all_tokens), F.lit(0.0)).alias("actual_share"), short.cast("long").alias("shortfall"), (F.col("available") - F.coalesce("touched", F.lit(0))).cast("long").alias("unused"))

@@ -82,14 +82,16 @@ def _sized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
-    """Every document of the mix and how many times it is used."""
-    return mixing.mixed(_sized(spark, d).persist(), table(spark, d, "mix_target"))
+    """Every document of the mix and how many times it is used. The mix is as large as the listed sources' corpus."""
+    docs, targets = _sized(spark, d).persist(), table(spark, d, "mix_target")
+    return mixing.mixed(docs, targets, mixing.corpus_total(docs, targets))
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    """The actual share of every listed source."""
+    """The actual share of every listed source, what it lacks of its target and what of it is unused."""
     docs, targets = _sized(spark, d).persist(), table(spark, d, "mix_target")
-    return mixing.shares(mixing.mixed(docs, targets), docs, targets)
+    total = mixing.corpus_total(docs, targets)
+    return mixing.shares(mixing.mixed(docs, targets, total), docs, targets, total)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

@@ -49,6 +49,23 @@ def test_caps_cut_what_can_not_be_had(spark):
     assert report["a"]["most_copies"] == 2 and report["a"]["actual_share"] < 0.2
 
 
+def test_a_scarce_source_does_not_size_the_mix(spark, monkeypatch):
+    """p8_mix and p8_shares: the total follows the corpus, a scarce source stops at max_repeat and is reported."""
+    from tessera.llm import queries
+
+    docs = _docs(spark, {"a": [10] * 100, "b": [10] * 200, "scarce": [10], "unlisted": [9] * 50})
+    targets = _targets(spark, [("a", 0.4, 2), ("b", 0.4, 2), ("scarce", 0.1, 5), ("none", 0.1, 3), ("zero", 0.0, 3)])
+    monkeypatch.setattr(queries, "_sized", lambda *_: docs)
+    monkeypatch.setattr(queries, "table", lambda *_: targets)
+    got = _totals(queries.p8_mix(spark, ""))
+    assert got == {"a": 1330, "b": 1330, "scarce": 50}  # 3010 tokens; 4/9 of it each, of which whole documents fit
+    report = {r["source"]: r for r in queries.p8_shares(spark, "").collect()}
+    assert {s: r["tokens"] for s, r in report.items()} == {**got, "none": 0, "zero": 0}
+    assert {s: r["shortfall"] for s, r in report.items()} == {"a": 0, "b": 0, "scarce": 251, "none": 301, "zero": 0}
+    assert {s: r["unused"] for s, r in report.items()} == {"a": 0, "b": 670, "scarce": 0, "none": 0, "zero": 0}
+    assert mixing.corpus_total(docs.limit(0), targets) == mixing.corpus_total(docs, targets.limit(0)) == 0
+
+
 def test_same_as_one_sorted_list(spark, monkeypatch):
     """The buckets give what a sort of all keys of a source gives."""
     docs = _docs(spark, {"a": [3 + i % 11 for i in range(400)], "b": [50] * 100})
