@@ -13,7 +13,7 @@ third of all rows is no more than a third of partial aggregates. The split itsel
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -71,17 +71,30 @@ class Names:
         if len(self.automaton):
             self.automaton.make_automaton()
 
-    def spans(self, value: str) -> list[tuple[int, int]]:
-        """Where a name stands, as a whole word; of overlapping ones the first, of those the longest."""
+    def matches(self, value: str) -> list[tuple[int, int]]:
+        """Where any name stands as a whole word in the value's drawn form, overlapping ones too."""
         if not len(self.automaton):
             return []
-        drawn, origin = skeleton_with_origin(value)
+        drawn, _ = skeleton_with_origin(value)
         found = []
         for last, n in self.automaton.iter(drawn):
             a, b = last - n + 1, last + 1
             if not (a and is_word(drawn[a - 1])) and not (b < len(drawn) and is_word(drawn[b])):
-                found.append((a, -b))
-        return _apart([(origin[a], origin[-b - 1] + 1) for a, b in sorted(found)])
+                found.append((a, b))
+        return found
+
+    def spans(self, value: str) -> list[tuple[int, int]]:
+        """Where a name stands, as a whole word; of overlapping ones the first, of those the longest."""
+        return _placed(value, self.matches(value))
+
+
+def _placed(value: str, matches: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Matches in a value's drawn form as places in the value; of overlapping ones the first, of those the longest."""
+    found = sorted(matches, key=lambda m: (m[0], -m[1]))
+    if not found:
+        return []
+    _, origin = skeleton_with_origin(value)
+    return _apart([(origin[a], origin[b - 1] + 1) for a, b in found])
 
 
 def _apart(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -131,12 +144,13 @@ def _unbracketed(value: str) -> str:
     return text[1:-1].strip() if len(text) > 1 and text[0] == "[" and text[-1] == "]" else text
 
 
-def split_value(value: str, delims: tuple[str, ...], names: Names, known: frozenset[str] = frozenset(), guarded: list[tuple[int, int]] | None = None) -> list[str]:
+def split_value(value: str, delims: tuple[str, ...], names: Names, known: frozenset[str] = frozenset(), guarded: list[tuple[int, int]] | None = None, listed: bool = False) -> list[str]:
     """The values packed in one string, in order, without empty ones.
 
     A quoted stretch that begins and ends at a delimiter is one value; so is a listed name or what looks like one. A
     line break separates values only where no other accepted delimiter does; otherwise it is a break inside a name.
-    guarded: where names stand in the value, if that is known already.
+    guarded: where names stand in the value, if that is known already. listed: whether the whole is of a known type, if
+    that is known already.
     """
     text = _unbracketed(value)
     if guarded is None:
@@ -145,7 +159,7 @@ def split_value(value: str, delims: tuple[str, ...], names: Names, known: frozen
     pieces = _cut(text, inline, guarded)
     if "\n" in delims and "\n" in text and len(pieces) == 1:
         whole = skeleton(pieces[0])
-        if whole not in known and whole not in names.all:
+        if not listed and whole not in known and whole not in names.all:
             pieces = _cut(text, ("\n",), guarded)
     return [c for c in map(clean, pieces) if not _void(c)]
 
@@ -204,17 +218,20 @@ def _closing(text: str, i: int, pattern: re.Pattern) -> int:
     return 0
 
 
-def _profile(value: str, names: Names, known: frozenset[str]) -> list[tuple[str, int, int]]:
-    """For each candidate in the value, alone: how many pieces it makes and how many of them are of a known type."""
+def _profile(value: str, names: Names, known: frozenset[str], guarded: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int, list[str]]]:
+    """For each candidate in the value, alone: how many pieces it makes, how many of them are of a type known here, and
+    the keys of the others."""
     out = []
     text = _unbracketed(value)
-    guarded = names.spans(text)
+    if guarded is None:
+        guarded = names.spans(text)
     for d in CANDIDATES:
         if d in text and (d != " " or not any(x in text for x in ";|\t•·,/&+\n")):
             # a listed name with a blank in it speaks against the blank as a delimiter
             pieces = [c for c in map(clean, _cut(text, (d,), guarded if d != " " else [])) if not _void(c)]
             if len(pieces) > 1:
-                out.append((d, len(pieces), sum((k := skeleton(p)) in known or k in names.all for p in pieces)))
+                others = [k for p in pieces if (k := skeleton(p)) not in known and k not in names.all]
+                out.append((d, len(pieces), len(pieces) - len(others), others))
     return out
 
 
@@ -235,33 +252,49 @@ def vocabulary(long: DataFrame) -> dict[str, frozenset[str]]:
     return {f: frozenset(v - {""}) for f, v in out.items()}
 
 
-def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known: dict[str, frozenset[str]]) -> DataFrame:
-    """(src, field, delims): the accepted delimiters of each source, joined by U+001F; src null holds for all others."""
+def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known: dict[str, frozenset[str]], sharded: frozenset[str] = frozenset(), more: DataFrame | None = None) -> DataFrame:
+    """(src, field, delims): the accepted delimiters of each source, joined by U+001F; src null holds for all others.
+
+    names, known: what is sent to the executors. more: (field, key) of further pieces of a known type, which are joined.
+    sharded: the fields whose places of names are in the column guard.
+    """
+    joined = more is not None
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple[str, str, str], list[float]] = {}
+        sums: dict[tuple[str, str, str, str | None], list[float]] = {}
         memo: dict[tuple[str, str], list] = {}
+        held = 0
         for b in batches:
-            for src, field, raw in zip(b["src"], b["field"], b["raw"]):
+            for src, field, raw, guard in zip(b["src"], b["field"], b["raw"], b["guard"]):
                 found = memo.get((field, raw))
                 if found is None:
-                    found = _profile(raw, _names(names.get(field, ())), known.get(field, frozenset()))
-                    if len(memo) > 100_000:
+                    places = _placed(_unbracketed(raw), zip(guard[::2], guard[1::2])) if field in sharded else None
+                    found = _profile(raw, _names(names.get(field, ())), known.get(field, frozenset()), places)
+                    held += 1 + sum(len(x[3]) for x in found)
+                    if held > 200_000:
                         memo.clear()
+                        held = 0
                     memo[field, raw] = found
-                for d, n, k in found:
-                    s = sums.setdefault((src, field, d), [0.0] * 4)
+                for d, n, k, others in found:
+                    s = sums.setdefault((src, field, d, None), [0.0] * 4)
                     s[0] += 1
                     s[1] += n
                     s[2] += n * n
                     s[3] += k
+                    for key in others if joined else ():
+                        sums.setdefault((src, field, d, key), [0.0] * 4)[3] += 1
             if len(sums) > 50_000:
                 yield _sums(sums)
                 sums = {}
         yield _sums(sums)
 
-    stats = long.select("src", "field", "raw").mapInPandas(profile, "src string, field string, d string, n double, p double, pp double, k double")
+    kind = "src string, field string, d string, key string, n double, p double, pp double, k double"
+    stats = long.select("src", "field", "raw", "guard").mapInPandas(profile, kind)
     sums = [F.sum(c).alias(c) for c in ("n", "p", "pp", "k")]
+    if joined:
+        # pieces are counted before they are joined; of the unknown ones only those that turn out to be known count
+        stats = stats.groupBy("src", "field", "d", "key").agg(*sums).persist()
+        stats = stats.where("key is null").unionByName(stats.where("key is not null").join(more, ["field", "key"], "left_semi").select(stats.columns))
     by = stats.groupBy("src", "field", "d").agg(*sums)
     overall = by.groupBy("field", "d").agg(*[F.sum(c).alias("all_" + c) for c in ("n", "p", "pp", "k")])
     lean = F.lit(PRIOR) / F.col("all_n")
@@ -275,7 +308,7 @@ def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known:
 
 def _sums(sums: dict) -> pd.DataFrame:
     rows = [(*key, *s) for key, s in sums.items()]
-    return pd.DataFrame(rows, columns=["src", "field", "d", "n", "p", "pp", "k"])
+    return pd.DataFrame(rows, columns=["src", "field", "d", "key", "n", "p", "pp", "k"])
 
 
 def _collect_names(names: DataFrame | None, col: str) -> list[tuple[str, ...]]:
@@ -290,7 +323,8 @@ def _collect_names(names: DataFrame | None, col: str) -> list[tuple[str, ...]]:
 
 
 def _guarded(long: DataFrame, field: str, shards: list[tuple[str, ...]]) -> DataFrame:
-    """long with the column guard: for the field's values, where a name of any shard stands, as start, end, start, ..."""
+    """long with the column guard: for the field's values, where a name of any shard stands in the drawn form, as start,
+    end, start, ... Overlapping ones are all kept, as which of them counts shows only when all shards are seen."""
     for shard in shards:
         find = _finder(long.sparkSession.sparkContext.broadcast(shard))
         long = long.withColumn("guard", F.concat("guard", F.when(F.col("field") == field, find("raw")).otherwise(F.array().cast("array<int>"))))
@@ -300,11 +334,35 @@ def _guarded(long: DataFrame, field: str, shards: list[tuple[str, ...]]) -> Data
 def _finder(shard):  # noqa: ANN001, ANN202
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def find(raw: pd.Series) -> pd.Series:
-        return pd.Series([[i for span in _names(shard.value).spans(_unbracketed(r)) for i in span] for r in raw])
+        return pd.Series([[i for span in _names(shard.value).matches(_unbracketed(r)) for i in span] for r in raw])
 
     return find
 
 
+def _keys(of: Callable[[str], str]):  # noqa: ANN202
+    @F.pandas_udf("string")
+    def keys(raw: pd.Series) -> pd.Series:
+        return raw.map(of)
+
+    return keys
+
+
+def _name_keys(names: DataFrame, col: str, field: str) -> DataFrame:
+    """(field, key) of all listed names."""
+    name = F.col(col).cast("string")
+    return names.select(name.alias("n")).where("n is not null").distinct().select(F.lit(field).alias("field"), _keys(skeleton)("n").alias("key")).where("key <> ''").distinct()
+
+
+def _whole_listed(rows: DataFrame, more: DataFrame) -> DataFrame:
+    """rows with the column listed: whether a value that a line break might split is, as a whole, one of more."""
+    breaks = F.col("raw").contains("\n") & F.col("delims").contains("\n")
+    whole = _keys(lambda r: skeleton(_unbracketed(r)))("raw").alias("key")
+    lines = rows.where(breaks).select("field", "raw").distinct().select("field", "raw", whole)
+    lines = lines.join(more, ["field", "key"], "left_semi").select("field", "raw", F.lit(True).alias("listed"))
+    broken = rows.where(breaks).join(lines, ["field", "raw"], "left").select(*rows.columns, F.coalesce("listed", F.lit(False)).alias("listed"))
+    return rows.where(~breaks).withColumn("listed", F.lit(False)).unionByName(broken)
+
+
 def split_packed(
     df: DataFrame,
     id_col: str,
@@ -321,33 +379,40 @@ def split_packed(
     """
     long = _long(df, id_col, source_col, fields)
     shards = {f: _collect_names(*t) for f, t in (names or {}).items()}
-    # one shard goes along with the functions; more are looked for one after another before the split
-    listed = {f: s[0] for f, s in shards.items()}
+    # one shard goes along with the functions; of more, the places are looked for one after another and the names joined
+    listed = {f: s[0] for f, s in shards.items() if len(s) == 1}
     many = {f: s for f, s in shards.items() if len(s) > 1}
-    known = vocabulary(long)
-    found = infer_delimiters(long, listed, known).persist()
-    small = found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    rest = found.where("src is null").select("field", F.col("delims").alias("rest"))
-    own = found.where("src is not null")
+    more = None
     if many:
         long = long.withColumn("guard", F.array().cast("array<int>"))
         for f, parts in many.items():
             long = _guarded(long, f, parts)
+            keys = _name_keys(*names[f], f)
+            more = keys if more is None else more.unionByName(keys)
+        more = more.persist()
     else:
         long = long.withColumn("guard", F.lit(None).cast("array<int>"))
+    known = vocabulary(long)
+    sharded = frozenset(many)
+    found = infer_delimiters(long, listed, known, sharded, more).persist()
+    small = found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    rest = found.where("src is null").select("field", F.col("delims").alias("rest"))
+    own = found.where("src is not null")
     with_own = long.join(F.broadcast(own) if small else own, ["src", "field"], "left").join(F.broadcast(rest), ["field"], "left")
+    with_own = with_own.select("rid", "field", "raw", F.coalesce("delims", "rest", F.lit("")).alias("delims"), "guard")
+    with_own = _whole_listed(with_own, more) if more is not None else with_own.withColumn("listed", F.lit(False))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series) -> pd.Series:
+    def split(field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:
         memo: dict[tuple, list[str]] = {}
         out = []
-        for f, r, d, g in zip(field, raw, delims, guard):
+        for f, r, d, g, w in zip(field, raw, delims, guard, whole):
             key = (f, r, d)
             if key not in memo:
-                spans = _apart(sorted(zip(g[::2], g[1::2]), key=lambda x: (x[0], -x[1]))) if f in many else None
-                memo[key] = split_value(r, tuple(d.split("\u001f")) if d else (), _names(listed.get(f, ())), known.get(f, frozenset()), spans)
+                spans = _placed(_unbracketed(r), zip(g[::2], g[1::2])) if f in sharded else None
+                memo[key] = split_value(r, tuple(d.split("\u001f")) if d else (), _names(listed.get(f, ())), known.get(f, frozenset()), spans, bool(w))
             out.append(memo[key])
         return pd.Series(out)
 
-    items: Column = split("field", "raw", F.coalesce("delims", "rest", F.lit("")), "guard")
+    items: Column = split("field", "raw", "delims", "guard", "listed")
     return with_own.select("rid", "field", items.alias("items")).select("rid", "field", F.size("items").alias("n_items"), F.posexplode("items").alias("p0", "item")).select(F.col("rid").alias(id_col), "field", (F.col("p0") + 1).cast("int").alias("pos"), "item", "n_items")

@@ -87,6 +87,22 @@ def test_many_names_in_shards(spark, rows, monkeypatch):
         split_packed(_table(spark, data), "rid", ["skills"], "src", names)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3])
+def test_shards_change_nothing(spark, rows, monkeypatch, size):
+    """Guards, known pieces and whole names with a line break count from every shard."""
+    from tessera.operators import packed
+
+    ref = spark.createDataFrame([(f"Old {c}, New {c}",) for c in "abcdefgh"] + [("P, Q",), ("Q, R",), ("R, S",), ("Tall Oak",), ("Low Elm",), ("Zed\nYard",)], "name string")
+    data = [(i, "s", f"Old {'abcdefgh'[i % 8]}, New {'abcdefgh'[i % 8]}, Red", "", 0, "") for i in range(24)]
+    data += [(90 + i, "s", x, "", 0, "") for i, x in enumerate(["Red", "Red", "Blue", "Blue", "Red, Blue", "P, Q, R, S"])]
+    data += [(200 + i, "t", x, "", 0, "") for i, x in enumerate(["Tall Oak\nLow Elm"] * 9 + ["Low\nElm", "Zed\nYard", "Low Elm"])]
+    names = {"skills": (ref, "name")}
+    one = rows(split_packed(_table(spark, data), "rid", ["skills"], "src", names))
+    monkeypatch.setattr(packed, "SHARD", size)
+    assert rows(split_packed(_table(spark, data), "rid", ["skills"], "src", names)) == one
+    assert {(95, "skills", 1, "P, Q", 2), (95, "skills", 2, "R, S", 2), (0, "skills", 2, "Red", 2), (200, "skills", 2, "Low Elm", 2), (209, "skills", 1, "Low Elm", 1), (210, "skills", 1, "Zed Yard", 1)} <= set(one)
+
+
 def test_empty_table(spark):
     assert split_packed(_table(spark, []), "rid", ["skills", "item"], "src").collect() == []
 
