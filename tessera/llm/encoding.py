@@ -2,7 +2,8 @@
 
 Method. (1) Characters are mapped back to the bytes of a legacy code page; a byte-structure automaton finds the maximal
 spans of well-formed multibyte UTF-8 in them, and only those spans are decoded, again and again until none is left
-(text may be garbled twice). Of several code pages the one with the most plausible result is taken. (2) Text of one
+(text may be garbled twice). Of several code pages the one with the most plausible result is taken. Spans are judged one
+by one: letters that the corpus lacks are accepted in a run of RUN characters of one script, or beside enough usual ones. (2) Text of one
 single-byte code page read as another has no byte structure. It is found by context: for each character beyond ASCII
 the corpus gives how often it stands between its neighbours; re-reading a passage under another code page is accepted
 where the likelihood gain of the best contiguous passage (maximal sum) is large. (3) A replacement character means
@@ -35,6 +36,11 @@ SWAPS = (("cp1252", "mac_roman"), ("mac_roman", "cp1252"))
 LEAST_GAIN, LEAST_PEAK = 2.5, 2.0
 #: What well-formed bytes weigh against the statistics of contexts, in log-likelihood a character.
 STRUCTURE = 3.0
+#: Well-formed characters of one script in a row that are taken whether or not the corpus has them, and so many if they
+#: might be a word of another script as they stand.
+RUN, LONG_RUN = 3, 6
+#: Usual decoded characters that speak for a page, for each unusual one that is decoded with them.
+CARRY = 3
 #: Times that text may have been garbled.
 DEPTH = 4
 #: Most different (neighbour, character, neighbour) that go to the driver; bounded by classes, see _near.
@@ -55,6 +61,14 @@ def to_bytes(page: str) -> dict[str, int]:
     return out
 
 
+@lru_cache(maxsize=None)
+def _shown(page: str) -> frozenset[str]:
+    """The C1 controls whose byte the page shows by another character."""
+    table = to_bytes(page)
+    shown = {b for c, b in table.items() if not "\x80" <= c <= "\x9f"}
+    return frozenset(c for c, b in table.items() if "\x80" <= c <= "\x9f" and b in shown)
+
+
 # The automaton over bytes of well-formed UTF-8: state -> (lowest, highest byte, next state); 0 is between characters.
 _STEPS: dict[int, tuple[tuple[int, int, int], ...]] = {
     0: ((0xC2, 0xDF, 1), (0xE0, 0xE0, 2), (0xE1, 0xEC, 3), (0xED, 0xED, 4), (0xEE, 0xEF, 3), (0xF0, 0xF0, 5), (0xF1, 0xF3, 6), (0xF4, 0xF4, 7)),
@@ -116,24 +130,56 @@ class Decoded:
         return [self.text[i] for i in self.now]
 
 
-def decode_spans(text: str, page: str) -> Decoded | None:
-    """The text with its well-formed spans decoded; None if it has none."""
+def _runs(text: str, page: str) -> list[tuple[int, int, str]]:
+    """Start, end and decoded form of the text's well-formed spans."""
     if not _hint(page).search(text):
-        return None
+        return []
     table = to_bytes(page)
     codes = [table.get(c, -1) if c > "\x7f" else -1 for c in text]
+    return [(a, b, bytes(codes[a:b]).decode("utf-8")) for a, b in spans(codes)]
+
+
+def _decoded(text: str, runs: list[tuple[int, int, str]]) -> Decoded:
     out, at, n = [], 0, 0
     was: list[int] = []
     now: list[int] = []
-    for a, b in spans(codes):
-        new = bytes(codes[a:b]).decode("utf-8")
+    for a, b, new in runs:
         n += a - at
         was += range(a, b)
         now += range(n, n + len(new))
         n += len(new)
         out += [text[at:a], new]
         at = b
-    return Decoded("".join([*out, text[at:]]), was, now) if now else None
+    return Decoded("".join([*out, text[at:]]), was, now)
+
+
+def decode_spans(text: str, page: str) -> Decoded | None:
+    """The text with its well-formed spans decoded; None if it has none."""
+    runs = _runs(text, page)
+    return _decoded(text, runs) if runs else None
+
+
+@lru_cache(maxsize=65536)
+def _script(c: str) -> str:
+    return unicodedata.name(c, "?").split()[0]
+
+
+def _one_script(text: str) -> bool:
+    """Whether the letters are of one script, if there are any. Japanese mixes three."""
+    kinds = {("CJK" if (k := _script(c)) in ("HIRAGANA", "KATAKANA", "KATAKANA-HIRAGANA") else k) for c in text if c.isalpha()}
+    return len(kinds) == 1
+
+
+def _possible(text: str) -> bool:
+    """Whether all are characters that a text may hold: no unassigned or private ones, surrogates or controls."""
+    return all(unicodedata.category(c) not in ("Cn", "Co", "Cs", "Cc") for c in text)
+
+
+def _solid(old: str, new: str) -> bool:
+    """Whether the structure alone tells that a span was garbled: several characters of one script in a row."""
+    if len(new) < RUN or not _possible(new) or not _one_script(new):
+        return False
+    return len(new) >= LONG_RUN or not (old.isalpha() and _one_script(old))
 
 
 @lru_cache(maxsize=65536)
@@ -190,31 +236,60 @@ class Model:
     def _mean(self, text: str, places: list[int]) -> float:
         return sum(self.score(*t) for t in contexts_at(text, places)) / len(places)
 
+    def _judge(self, text: str, runs: list[tuple[int, int, str]]) -> tuple[list, list, list]:
+        """Of the well-formed spans under a page: those to decode, those of them with usual characters only, and those
+        of the others whose structure is proof enough. Unusual spans are decoded where one is solid or where the usual
+        ones outweigh them; else they alone stay as they are."""
+        sure = [r for r in runs if all(map(self._usual, r[2]))]
+        if len(sure) == len(runs):
+            return runs, sure, []
+        odd = [r for r in runs if not all(map(self._usual, r[2])) and _possible(r[2])]
+        solid = [r for r in odd if _solid(text[r[0] : r[1]], r[2])]
+        if not solid and sum(len(r[2]) for r in sure) < CARRY * sum(len(r[2]) for r in odd):
+            odd = []
+        return sorted(sure + odd), sure, solid
+
     def unfold(self, text: str) -> str:
         """The text with UTF-8 spans decoded, repeatedly, each time under the page whose characters are the most usual
         where they stand. Bytes don't form characters by chance: the outcome may be somewhat less usual than what was
-        there, if the corpus has its characters at all, and plain signs are always taken."""
+        there, if the corpus has its characters at all, and plain signs are always taken. Long spans are taken for their
+        structure, whether or not the corpus has their characters."""
         found, now, least = text, text, None
         for _ in range(DEPTH):
             best = None
             if not _any_hint().search(now):
                 break
             for page in PAGES:
-                d = decode_spans(now, page)
-                if d and all(map(self._usual, d.got)):
-                    if least is None:
-                        least = self._mean(now, d.was)
-                    # the page that explains the most; of those the one with the most usual result
-                    rank = (-len(d.was), -self._mean(d.text, d.now))
-                    if best is None or rank < best[0]:
-                        best = (rank, d)
+                runs = _runs(now, page)
+                if not runs:
+                    continue
+                kept, sure, solid = self._judge(now, runs)
+                if not kept:
+                    continue
+                d, plain = _decoded(now, kept), _decoded(now, sure)
+                mean = self._mean(plain.text, plain.now) if sure else -math.inf
+                if least is None and len(sure) == len(runs):
+                    least = self._mean(now, d.was)
+                # the page that explains the most by usual characters and solid spans, then by all, with the fewest
+                # controls that it would have shown otherwise, in the fewest scripts; then the most usual result
+                trusted = len(plain.was) + sum(b - a for a, b, _ in solid)
+                scripts = len({_script(c) for c in d.got if c.isalpha()}) if solid else 0
+                controls = sum(now[i] in _shown(page) for i in d.was) if solid else 0
+                rank = (-trusted, -len(d.was), controls, scripts, -mean)
+                if best is None or rank < best[0]:
+                    best = (rank, d, plain, solid)
             if best is None:
                 break
-            now, got, mean = best[1].text, best[1].got, -best[0][1]
+            (_, d, plain, solid), mean = best, -best[0][-1]
+            if plain.now and least is None:
+                least = self._mean(now, plain.was)
+            got = plain.got
             known = all(self.n1[c] > 0 or c in _SIGNS for c in got)
-            if mean > least or (known and mean > least - STRUCTURE) or all(c in _SIGNS for c in got):
+            now = d.text
+            if solid or mean > least or (known and mean > least - STRUCTURE) or all(c in _SIGNS for c in got):
                 found = now
-                least = max(least, mean)
+                if plain.now:
+                    least = max(least, mean)
         return found
 
     def reread(self, text: str) -> str:

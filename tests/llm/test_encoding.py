@@ -51,6 +51,34 @@ def test_right_text_stays(text):
     assert M.restore(text) is None
 
 
+FOREIGN = ["Երևանի քարտեզը", "שלום עולם טוב", "夜の渡し船が出ます", "საქართველოს რუკა"]
+
+
+@pytest.mark.parametrize("page", PAGES)
+@pytest.mark.parametrize("text", FOREIGN)
+def test_letters_that_the_corpus_lacks(text, page):
+    if page == "cp1257" and text.startswith("ש"):
+        pytest.skip("the garbled text is as well formed under cp1252")
+    assert M.restore(misread(text, page)) == text
+    assert M.restore(text) is None
+
+
+def test_one_rare_letter_does_not_keep_the_rest_garbled():
+    text = "Mêlée of Kôrbo, Mûrdastá — Halvéni and ჟ, Dûnreth, Càrholm"
+    for page in ("cp1252", "mac_roman", "cp850"):
+        assert M.restore(misread(text, page)) == text
+    # too little speaks for the rare letters here: they stay, the rest is decoded
+    text = misread("Mêlée ჟ ж", "cp1252")
+    assert M.restore(text).startswith("Mêlée ")
+
+
+@pytest.mark.parametrize("text", ["сабтек хабат", "Сёма ёж СЁ", "Съешь же ещё этих мягких французских булок, да выпей чаю", "рабочая тетрадь, саботаж, сапфир, тайна", "Φύλακας ΎΈ", "Ölüß Ãß Žß"])
+def test_right_text_that_the_corpus_lacks_stays(text):
+    from collections import Counter
+
+    assert Model(Counter(t for s in SENTENCES[:3] for t in contexts(s))).restore(text) is None
+
+
 def test_lost():
     assert M.restore("M�rdast�") == "" and M.restore("Mûr � x") == ""
 
