@@ -1,6 +1,7 @@
 """Several values packed in one field: infer the delimiters of each source, then split and explode with position.
 
-Plan. (1) One aggregate finds the values that stand alone in a field (its vocabulary). (2) A second pass splits every
+Plan. (1) One aggregate finds the values that stand alone in a field (its vocabulary; what is rare in it stays
+distributed and meets the counted pieces in a join). (2) A second pass splits every
 value at each candidate delimiter by itself and aggregates, for each source, field and delimiter, how many pieces come
 out, how evenly, and how many of them are of a known type. (3) A delimiter is accepted for a source if piece-count
 consistency times type regularity reaches a threshold; small sources lean on all sources together. (4) Every value is
@@ -29,9 +30,9 @@ CANDIDATES = (";", "|", "\t", "•", "·", ",", "/", "&", "+", "and", "or", " ",
 QUOTES = {'"': '"', "'": "'", "“": "”", "„": "“", "‘": "’", "«": "»", "`": "`"}
 BRACKETS = {"[": "]", "(": ")", "{": "}", "<": ">"}
 
-#: A value that stands alone belongs to the vocabulary if at least this share of the field's lone values equals it,
-#: so the vocabulary has at most 1 / SHARE entries whatever the size of the input.
-SHARE = 0.0005
+#: A value belongs to the vocabulary if it stands alone LEAST times. What makes at least this share of the field's lone
+#: values is sent to the executors (at most 1 / SHARE entries whatever the size of the input); the rest is joined.
+LEAST, SHARE = 2, 0.0005
 #: Sources with few values lean on all sources as if these many values came from them.
 PRIOR = 20.0
 ACCEPT = 0.5
@@ -241,24 +242,38 @@ def _long(df: DataFrame, id_col: str, source_col: str | None, fields: list[str])
     return df.select(F.col(id_col).alias("rid"), source.alias("src"), F.explode(packed).alias("p")).select("rid", "src", "p.field", "p.raw").where("raw is not null")
 
 
-def vocabulary(long: DataFrame) -> dict[str, frozenset[str]]:
-    """Per field, the values that stand alone often enough; bounded by 1 / SHARE entries a field."""
+def _keys(of: Callable[[str], str]):  # noqa: ANN202
+    @F.pandas_udf("string")
+    def keys(raw: pd.Series) -> pd.Series:
+        return raw.map(of)
+
+    return keys
+
+
+def vocabulary(long: DataFrame) -> tuple[dict[str, frozenset[str]], DataFrame]:
+    """Per field, the keys of values that stand alone often, bounded by 1 / SHARE entries a field; (field, key) of the
+    rarer ones, which stay distributed."""
     alone = long.where(~F.col("raw").rlike(r"[;|\t•·,/&+\n]|\s(?i:and|or)\s")).groupBy("field", F.lower(F.trim("raw")).alias("v")).count()
     total = alone.groupBy("field").agg(F.sum("count").alias("n"))
-    rows = alone.join(F.broadcast(total), "field").where(F.col("count") >= F.greatest(F.lit(2.0), F.col("n") * SHARE)).select("field", "v").collect()
+    known = alone.where(F.col("count") >= LEAST).join(F.broadcast(total), "field").withColumn("often", F.col("count") >= F.col("n") * SHARE)
+    known = known.select("field", _keys(lambda v: skeleton(clean(v)))("v").alias("key"), "often").where("key <> ''").groupBy("field", "key").agg(F.max("often").alias("often")).localCheckpoint()  # small, and used many times: plans stay short
+    single, several = known.where("key not like '% %'"), known.where("key like '% %'")
+    # values between blanks only are packed, if each of their words stands alone elsewhere
+    words = several.select("field", F.col("key").alias("whole"), F.explode(F.split("key", " ")).alias("key"))
+    names = words.join(single, ["field", "key"], "left_anti").select("field", F.col("whole").alias("key")).distinct()
+    known = single.unionByName(several.join(names, ["field", "key"], "left_semi")).localCheckpoint()
     out: dict[str, set[str]] = {}
-    for r in rows:
-        out.setdefault(r["field"], set()).add(skeleton(clean(r["v"])))
-    return {f: frozenset(v - {""}) for f, v in out.items()}
+    for r in known.where("often").select("field", "key").collect():
+        out.setdefault(r["field"], set()).add(r["key"])
+    return {f: frozenset(v) for f, v in out.items()}, known.where("not often").select("field", "key")
 
 
-def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known: dict[str, frozenset[str]], sharded: frozenset[str] = frozenset(), more: DataFrame | None = None) -> DataFrame:
+def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known: dict[str, frozenset[str]], sharded: frozenset[str], more: DataFrame) -> DataFrame:
     """(src, field, delims): the accepted delimiters of each source, joined by U+001F; src null holds for all others.
 
     names, known: what is sent to the executors. more: (field, key) of further pieces of a known type, which are joined.
     sharded: the fields whose places of names are in the column guard.
     """
-    joined = more is not None
 
     def profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple[str, str, str, str | None], list[float]] = {}
@@ -281,7 +296,7 @@ def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known:
                     s[1] += n
                     s[2] += n * n
                     s[3] += k
-                    for key in others if joined else ():
+                    for key in others:
                         sums.setdefault((src, field, d, key), [0.0] * 4)[3] += 1
             if len(sums) > 50_000:
                 yield _sums(sums)
@@ -291,10 +306,9 @@ def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known:
     kind = "src string, field string, d string, key string, n double, p double, pp double, k double"
     stats = long.select("src", "field", "raw", "guard").mapInPandas(profile, kind)
     sums = [F.sum(c).alias(c) for c in ("n", "p", "pp", "k")]
-    if joined:
-        # pieces are counted before they are joined; of the unknown ones only those that turn out to be known count
-        stats = stats.groupBy("src", "field", "d", "key").agg(*sums).persist()
-        stats = stats.where("key is null").unionByName(stats.where("key is not null").join(more, ["field", "key"], "left_semi").select(stats.columns))
+    # pieces are counted before they are joined; of the unknown ones only those that turn out to be known count
+    stats = stats.groupBy("src", "field", "d", "key").agg(*sums).persist()
+    stats = stats.where("key is null").unionByName(stats.where("key is not null").join(more, ["field", "key"], "left_semi").select(stats.columns))
     by = stats.groupBy("src", "field", "d").agg(*sums)
     overall = by.groupBy("field", "d").agg(*[F.sum(c).alias("all_" + c) for c in ("n", "p", "pp", "k")])
     lean = F.lit(PRIOR) / F.col("all_n")
@@ -339,14 +353,6 @@ def _finder(shard):  # noqa: ANN001, ANN202
     return find
 
 
-def _keys(of: Callable[[str], str]):  # noqa: ANN202
-    @F.pandas_udf("string")
-    def keys(raw: pd.Series) -> pd.Series:
-        return raw.map(of)
-
-    return keys
-
-
 def _name_keys(names: DataFrame, col: str, field: str) -> DataFrame:
     """(field, key) of all listed names."""
     name = F.col(col).cast("string")
@@ -382,25 +388,23 @@ def split_packed(
     # one shard goes along with the functions; of more, the places are looked for one after another and the names joined
     listed = {f: s[0] for f, s in shards.items() if len(s) == 1}
     many = {f: s for f, s in shards.items() if len(s) > 1}
-    more = None
+    known, more = vocabulary(long)
     if many:
         long = long.withColumn("guard", F.array().cast("array<int>"))
         for f, parts in many.items():
             long = _guarded(long, f, parts)
-            keys = _name_keys(*names[f], f)
-            more = keys if more is None else more.unionByName(keys)
-        more = more.persist()
+            more = more.unionByName(_name_keys(*names[f], f))
     else:
         long = long.withColumn("guard", F.lit(None).cast("array<int>"))
-    known = vocabulary(long)
+    more = more.distinct().localCheckpoint()
     sharded = frozenset(many)
-    found = infer_delimiters(long, listed, known, sharded, more).persist()
+    found = infer_delimiters(long, listed, known, sharded, more).localCheckpoint()
     small = found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     rest = found.where("src is null").select("field", F.col("delims").alias("rest"))
     own = found.where("src is not null")
     with_own = long.join(F.broadcast(own) if small else own, ["src", "field"], "left").join(F.broadcast(rest), ["field"], "left")
     with_own = with_own.select("rid", "field", "raw", F.coalesce("delims", "rest", F.lit("")).alias("delims"), "guard")
-    with_own = _whole_listed(with_own, more) if more is not None else with_own.withColumn("listed", F.lit(False))
+    with_own = _whole_listed(with_own, more)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:

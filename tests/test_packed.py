@@ -103,6 +103,21 @@ def test_shards_change_nothing(spark, rows, monkeypatch, size):
     assert {(95, "skills", 1, "P, Q", 2), (95, "skills", 2, "R, S", 2), (0, "skills", 2, "Red", 2), (200, "skills", 2, "Low Elm", 2), (209, "skills", 1, "Low Elm", 1), (210, "skills", 1, "Zed Yard", 1)} <= set(one)
 
 
+@pytest.mark.parametrize("share", [0.0005, 0.5])
+def test_rare_values_are_known_at_every_size(spark, rows, monkeypatch, share):
+    """A vocabulary of many equally frequent values, none of which has the share that is sent to the executors."""
+    from tessera.operators import packed
+
+    n = 2_500
+    data = [(i, "s", f"w{i % n}x", "", 0, "") for i in range(2 * n)] + [(2 * n + i, "s", f"w{i}x/w{i + 1}x", "", 0, "") for i in range(0, 400, 2)]
+    data += [(9_000, "s", "w7x\nw8x", "", 0, ""), (9_001, "s", "ab\ncd", "", 0, ""), (9_002, "s", "ab cd", "", 0, ""), (9_003, "s", "ab cd", "", 0, "")]
+    data += [(10_000 + i, "s", "w1x\nw2x", "", 0, "") for i in range(50)]
+    monkeypatch.setattr(packed, "SHARE", share)
+    got = rows(split_packed(_table(spark, data), "rid", ["skills"], "src").where("rid >= 5000"))
+    assert len([r for r in got if 5_000 <= r[0] < 5_400 and r[4] == 2]) == 400
+    assert (9_000, "skills", 2, "w8x", 2) in got and (9_001, "skills", 1, "ab cd", 1) in got
+
+
 def test_empty_table(spark):
     assert split_packed(_table(spark, []), "rid", ["skills", "item"], "src").collect() == []
 
