@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.textform import invisible, is_word, skeleton, skeleton_with_origin
+from tessera.plans.engine import cut_lineage
 
 #: Delimiters that are tried, strongest first. Words need blanks around them.
 CANDIDATES = (";", "|", "\t", "•", "·", ",", "/", "&", "+", "and", "or", " ", "\n")
@@ -256,12 +257,13 @@ def vocabulary(long: DataFrame) -> tuple[dict[str, frozenset[str]], DataFrame]:
     alone = long.where(~F.col("raw").rlike(r"[;|\t•·,/&+\n]|\s(?i:and|or)\s")).groupBy("field", F.lower(F.trim("raw")).alias("v")).count()
     total = alone.groupBy("field").agg(F.sum("count").alias("n"))
     known = alone.where(F.col("count") >= LEAST).join(F.broadcast(total), "field").withColumn("often", F.col("count") >= F.col("n") * SHARE)
-    known = known.select("field", _keys(lambda v: skeleton(clean(v)))("v").alias("key"), "often").where("key <> ''").groupBy("field", "key").agg(F.max("often").alias("often")).localCheckpoint()  # small, and used many times: plans stay short
+    known = known.select("field", _keys(lambda v: skeleton(clean(v)))("v").alias("key"), "often").where("key <> ''")
+    known = cut_lineage(known.groupBy("field", "key").agg(F.max("often").alias("often")).persist())  # used many times: plans stay short
     single, several = known.where("key not like '% %'"), known.where("key like '% %'")
     # values between blanks only are packed, if each of their words stands alone elsewhere
     words = several.select("field", F.col("key").alias("whole"), F.explode(F.split("key", " ")).alias("key"))
     names = words.join(single, ["field", "key"], "left_anti").select("field", F.col("whole").alias("key")).distinct()
-    known = single.unionByName(several.join(names, ["field", "key"], "left_semi")).localCheckpoint()
+    known = cut_lineage(single.unionByName(several.join(names, ["field", "key"], "left_semi")).persist())
     out: dict[str, set[str]] = {}
     for r in known.where("often").select("field", "key").collect():
         out.setdefault(r["field"], set()).add(r["key"])
@@ -396,9 +398,9 @@ def split_packed(
             more = more.unionByName(_name_keys(*names[f], f))
     else:
         long = long.withColumn("guard", F.lit(None).cast("array<int>"))
-    more = more.distinct().localCheckpoint()
+    more = cut_lineage(more.distinct().persist())
     sharded = frozenset(many)
-    found = infer_delimiters(long, listed, known, sharded, more).localCheckpoint()
+    found = cut_lineage(infer_delimiters(long, listed, known, sharded, more).persist())
     small = found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     rest = found.where("src is null").select("field", F.col("delims").alias("rest"))
     own = found.where("src is not null")
