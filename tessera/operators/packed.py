@@ -1,19 +1,22 @@
 """Several values packed in one field: infer the delimiters of each source, then split and explode with position.
 
-Plan. (1) One aggregate finds the values that stand alone in a field (its vocabulary; what is rare in it stays
-distributed and meets the counted pieces in a join). (2) A second pass splits every
-value at each candidate delimiter by itself and aggregates, for each source, field and delimiter, how many pieces come
-out, how evenly, and how many of them are of a known type. (3) A delimiter is accepted for a source if piece-count
-consistency times type regularity reaches a threshold; small sources lean on all sources together. (4) Every value is
-split at the accepted delimiters of its source, outside quotes and outside listed names, and exploded.
-
-Nothing is shuffled but the aggregates of (1) and (2), which are combined before the exchange; a source that holds a
-third of all rows is no more than a third of partial aggregates. The split itself is a narrow, Arrow-batched stage.
+Plan. (1) Every value is split at each candidate delimiter by itself; for each source, field and delimiter it is
+aggregated how many pieces come out, how evenly, and how many of them are regular: of a listed name, of the same type
+(integer, decimal, date, code, words by their casing) as others of the value, or a value that stands alone elsewhere in
+the field. Words and blanks separate only pieces that are known or strictly typed, as they stand within names too.
+(2) A delimiter is accepted for a source if piece-count consistency times type regularity reaches a threshold; small
+sources lean on all sources together. (3) Every value is split at the accepted delimiters of its source, outside
+quotes, dates and listed names, and exploded.
+
+Nothing is shuffled but the aggregates of (1) and the values that stand alone, which are combined before the exchange; a
+source that holds a third of all rows is no more than a third of partial aggregates. The split itself is a narrow,
+Arrow-batched stage.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -24,16 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.textform import invisible, is_word, skeleton, skeleton_with_origin
-from tessera.plans.engine import cut_lineage
 
 #: Delimiters that are tried, strongest first. Words need blanks around them.
 CANDIDATES = (";", "|", "\t", "•", "·", ",", "/", "&", "+", "and", "or", " ", "\n")
 QUOTES = {'"': '"', "'": "'", "“": "”", "„": "“", "‘": "’", "«": "»", "`": "`"}
 BRACKETS = {"[": "]", "(": ")", "{": "}", "<": ">"}
 
-#: A value belongs to the vocabulary if it stands alone LEAST times. What makes at least this share of the field's lone
-#: values is sent to the executors (at most 1 / SHARE entries whatever the size of the input); the rest is joined.
-LEAST, SHARE = 2, 0.0005
+#: A value is known if it stands alone LEAST times.
+LEAST = 2
+#: Share of a value's pieces that must be of one strict type for a word or a blank to separate them.
+STRICT_SHARE = 0.9
 #: Sources with few values lean on all sources as if these many values came from them.
 PRIOR = 20.0
 ACCEPT = 0.5
@@ -41,7 +44,21 @@ ACCEPT = 0.5
 SHARD, MAX_NAMES = 50_000, 1_000_000
 #: Up to this many (source, field) pairs the inferred delimiters are broadcast, beyond they are joined by shuffle.
 BROADCAST_SOURCES = 100_000
-
+#: Up to this many values with a line break that are known as a whole are sent to the executors, beyond they are joined.
+BROADCAST_LINES = 100_000
+
+#: Types of pieces: what the whole piece matches first. The strict ones can't be a word of a name.
+STRICT = (
+    ("date", re.compile(r"\d{4}([-/.])\d{1,2}\1\d{1,2}(?:[T ]\d\d:\d\d(?::\d\d)?)?|\d{1,2}([-/.])\d{1,2}\2\d{4}")),
+    ("integer", re.compile(r"[+-]?\d+")),
+    ("decimal", re.compile(r"[+-]?\d*[.,]\d+(?:[eE][+-]?\d+)?%?")),
+    ("code", re.compile(r"(?=[^\W\d_]*[\d_#@.:-])(?=\S*\w)[\w#@.:+-]{2,40}")),
+)
+_DATE = re.compile(r"(?<![\w/.-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\w/])")
+#: Most words of a piece that is a name or a term; more are prose.
+TERM_WORDS = 6
+
+_STRICT = frozenset(n for n, _ in STRICT)
 _WORDY = re.compile(r"\w")
 _QUOTE = re.compile("[" + "".join(QUOTES) + "]")
 
@@ -141,31 +158,53 @@ def _void(piece: str) -> bool:
     return not piece or all(c.isspace() or invisible(c) for c in piece)
 
 
+def _marked(text: str) -> bool:
+    """Whether a value holds a stronger candidate than the blank, so that blanks in it are within values."""
+    return any(x in text for x in ";|\t•·,/&+\n")
+
+
 def _unbracketed(value: str) -> str:
     text = value.strip()
     return text[1:-1].strip() if len(text) > 1 and text[0] == "[" and text[-1] == "]" else text
 
 
-def split_value(value: str, delims: tuple[str, ...], names: Names, known: frozenset[str] = frozenset(), guarded: list[tuple[int, int]] | None = None, listed: bool = False) -> list[str]:
+@lru_cache(maxsize=65536)
+def kind(piece: str) -> str:
+    """The type of a piece: a strict one, a term by its casing, or '' for prose and marks."""
+    for name, pattern in STRICT:
+        if pattern.fullmatch(piece):
+            return name
+    words = piece.split()
+    if not 0 < len(words) <= TERM_WORDS or piece[-1] in ".!?:" or not any(c.isalpha() for c in piece):
+        return ""
+    return "CAPITALS" if piece.isupper() and len(piece) > 1 else "Name" if next(c for c in piece if c.isalpha()).isupper() else "term"
+
+
+def split_value(value: str, delims: tuple[str, ...], names: Names, guarded: list[tuple[int, int]] | None = None, listed: bool = False) -> list[str]:
     """The values packed in one string, in order, without empty ones.
 
     A quoted stretch that begins and ends at a delimiter is one value; so is a listed name or what looks like one. A
     line break separates values only where no other accepted delimiter does; otherwise it is a break inside a name.
-    guarded: where names stand in the value, if that is known already. listed: whether the whole is of a known type, if
-    that is known already.
+    Dates stay whole. guarded: where names stand in the value, if that is known already. listed: whether the whole is
+    known to be one value though it holds a line break.
     """
     text = _unbracketed(value)
-    if guarded is None:
-        guarded = names.spans(text)
-    inline = tuple(d for d in delims if d != "\n")
+    guarded = _with_dates(text, names.spans(text) if guarded is None else guarded)
+    inline = tuple(d for d in delims if d != "\n" and (d != " " or not _marked(text)))
     pieces = _cut(text, inline, guarded)
     if "\n" in delims and "\n" in text and len(pieces) == 1:
         whole = skeleton(pieces[0])
-        if not listed and whole not in known and whole not in names.all:
+        if not listed and whole not in names.all:
             pieces = _cut(text, ("\n",), guarded)
     return [c for c in map(clean, pieces) if not _void(c)]
 
 
+def _with_dates(text: str, guarded: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The guarded places and those of dates."""
+    dates = [m.span() for m in _DATE.finditer(text)] if any(c.isdigit() for c in text) else []
+    return _apart(sorted([*guarded, *dates], key=lambda s: (s[0], -s[1]))) if dates else guarded
+
+
 def _cut(text: str, delims: tuple[str, ...], guarded: list[tuple[int, int]]) -> list[str]:
     if not delims:
         return [text]
@@ -220,20 +259,28 @@ def _closing(text: str, i: int, pattern: re.Pattern) -> int:
     return 0
 
 
-def _profile(value: str, names: Names, known: frozenset[str], guarded: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int, list[str]]]:
-    """For each candidate in the value, alone: how many pieces it makes, how many of them are of a type known here, and
-    the keys of the others."""
+def _profile(value: str, names: Names, guarded: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int, list[str]]]:
+    """For each candidate in the value, alone: how many pieces it makes, how many of them are regular by themselves, and
+    the keys of the others, which are regular if they stand alone elsewhere."""
     out = []
     text = _unbracketed(value)
-    if guarded is None:
-        guarded = names.spans(text)
+    guarded = _with_dates(text, names.spans(text) if guarded is None else guarded)
     for d in CANDIDATES:
-        if d in text and (d != " " or not any(x in text for x in ";|\t•·,/&+\n")):
+        if d in text and (d != " " or not _marked(text)):
             # a listed name with a blank in it speaks against the blank as a delimiter
-            pieces = [c for c in map(clean, _cut(text, (d,), guarded if d != " " else [])) if not _void(c)]
-            if len(pieces) > 1:
-                others = [k for p in pieces if (k := skeleton(p)) not in known and k not in names.all]
-                out.append((d, len(pieces), len(pieces) - len(others), others))
+            pieces = [c for c in map(clean, _cut(text, (d,), guarded if d != " " else _with_dates(text, []))) if not _void(c)]
+            if len(pieces) < 2:
+                continue
+            keys = list(map(skeleton, pieces))
+            kinds = list(map(kind, pieces))
+            most, n = Counter(k for k in kinds if k).most_common(1)[0] if any(kinds) else ("", 0)
+            strict = most in _STRICT
+            if _WORDY.search(d) or d in " \n":
+                even = strict and n >= STRICT_SHARE * len(pieces)
+            else:
+                even = n > 1
+            others = [k for k, t in zip(keys, kinds) if k not in names.all and not (even and t == most)]
+            out.append((d, len(pieces), len(pieces) - len(others), others))
     return out
 
 
@@ -251,29 +298,23 @@ def _keys(of: Callable[[str], str]):  # noqa: ANN202
     return keys
 
 
-def vocabulary(long: DataFrame) -> tuple[dict[str, frozenset[str]], DataFrame]:
-    """Per field, the keys of values that stand alone often, bounded by 1 / SHARE entries a field; (field, key) of the
-    rarer ones, which stay distributed."""
+def vocabulary(long: DataFrame) -> DataFrame:
+    """(field, key) of the values that stand alone; it stays distributed whatever its size."""
     alone = long.where(~F.col("raw").rlike(r"[;|\t•·,/&+\n]|\s(?i:and|or)\s")).groupBy("field", F.lower(F.trim("raw")).alias("v")).count()
-    total = alone.groupBy("field").agg(F.sum("count").alias("n"))
-    known = alone.where(F.col("count") >= LEAST).join(F.broadcast(total), "field").withColumn("often", F.col("count") >= F.col("n") * SHARE)
-    known = known.select("field", _keys(lambda v: skeleton(clean(v)))("v").alias("key"), "often").where("key <> ''")
-    known = cut_lineage(known.groupBy("field", "key").agg(F.max("often").alias("often")).persist())  # used many times: plans stay short
+    keyed = alone.select("field", _keys(lambda v: skeleton(clean(v)))("v").alias("key"), "count").where("key <> ''")
+    known = keyed.groupBy("field", "key").agg(F.sum("count").alias("n")).where(F.col("n") >= LEAST).select("field", "key").persist()
     single, several = known.where("key not like '% %'"), known.where("key like '% %'")
     # values between blanks only are packed, if each of their words stands alone elsewhere
     words = several.select("field", F.col("key").alias("whole"), F.explode(F.split("key", " ")).alias("key"))
-    names = words.join(single, ["field", "key"], "left_anti").select("field", F.col("whole").alias("key")).distinct()
-    known = cut_lineage(single.unionByName(several.join(names, ["field", "key"], "left_semi")).persist())
-    out: dict[str, set[str]] = {}
-    for r in known.where("often").select("field", "key").collect():
-        out.setdefault(r["field"], set()).add(r["key"])
-    return {f: frozenset(v) for f, v in out.items()}, known.where("not often").select("field", "key")
+    met = words.join(single.withColumn("lone", F.lit(True)), ["field", "key"], "left").groupBy("field", "whole").agg(F.count("*").alias("n"), F.count("lone").alias("k"))
+    return single.unionByName(met.where("k < n").select("field", F.col("whole").alias("key")))
 
 
-def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known: dict[str, frozenset[str]], sharded: frozenset[str], more: DataFrame) -> DataFrame:
-    """(src, field, delims): the accepted delimiters of each source, joined by U+001F; src null holds for all others.
+def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], sharded: frozenset[str], known: DataFrame) -> DataFrame:
+    """(src, field, seen, delims): the candidates that a source's values hold and those of them that are accepted; src
+    null holds for all sources together, and for each source in the candidates that its values don't hold.
 
-    names, known: what is sent to the executors. more: (field, key) of further pieces of a known type, which are joined.
+    names: what is sent to the executors. known: (field, key) of further pieces that are regular, which are joined.
     sharded: the fields whose places of names are in the column guard.
     """
 
@@ -286,7 +327,7 @@ def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known:
                 found = memo.get((field, raw))
                 if found is None:
                     places = _placed(_unbracketed(raw), zip(guard[::2], guard[1::2])) if field in sharded else None
-                    found = _profile(raw, _names(names.get(field, ())), known.get(field, frozenset()), places)
+                    found = _profile(raw, _names(names.get(field, ())), places)
                     held += 1 + sum(len(x[3]) for x in found)
                     if held > 200_000:
                         memo.clear()
@@ -303,23 +344,25 @@ def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], known:
             if len(sums) > 50_000:
                 yield _sums(sums)
                 sums = {}
-        yield _sums(sums)
+        if sums:  # a task without rows gives nothing: an empty column has no type to convert
+            yield _sums(sums)
 
-    kind = "src string, field string, d string, key string, n double, p double, pp double, k double"
-    stats = long.select("src", "field", "raw", "guard").mapInPandas(profile, kind)
+    types = "src string, field string, d string, key string, n double, p double, pp double, k double"
+    stats = long.select("src", "field", "raw", "guard").mapInPandas(profile, types)
     sums = [F.sum(c).alias(c) for c in ("n", "p", "pp", "k")]
     # pieces are counted before they are joined; of the unknown ones only those that turn out to be known count
-    stats = stats.groupBy("src", "field", "d", "key").agg(*sums).persist()
-    stats = stats.where("key is null").unionByName(stats.where("key is not null").join(more, ["field", "key"], "left_semi").select(stats.columns))
-    by = stats.groupBy("src", "field", "d").agg(*sums)
+    stats = stats.groupBy("src", "field", "d", "key").agg(*sums).join(known.withColumn("hit", F.lit(True)), ["field", "key"], "left")
+    by = stats.where("key is null or hit").groupBy("src", "field", "d").agg(*sums).persist()
     overall = by.groupBy("field", "d").agg(*[F.sum(c).alias("all_" + c) for c in ("n", "p", "pp", "k")])
     lean = F.lit(PRIOR) / F.col("all_n")
+    # overall has a row for each field and candidate: a few dozen, whatever the input
     mixed = by.join(F.broadcast(overall), ["field", "d"]).select("src", "field", "d", *[(F.col(c) + lean * F.col("all_" + c)).alias(c) for c in ("n", "p", "pp", "k")])
     both = mixed.unionByName(overall.select(F.lit(None).cast("string").alias("src"), "field", "d", *[F.col("all_" + c).alias(c) for c in ("n", "p", "pp", "k")]))
     mean = F.col("p") / F.col("n")
     consistency = 1 / (1 + F.greatest(F.lit(0.0), F.col("pp") / F.col("n") - mean * mean) / (mean * mean))
     scored = both.withColumn("score", consistency * F.col("k") / F.col("p"))
-    return scored.where(F.col("score") >= ACCEPT).groupBy("src", "field").agg(F.array_join(F.sort_array(F.collect_set("d")), "\u001f").alias("delims"))
+    accepted = F.collect_set(F.when(F.col("score") >= ACCEPT, F.col("d")))
+    return scored.groupBy("src", "field").agg(F.sort_array(F.collect_set("d")).alias("seen"), F.sort_array(accepted).alias("delims"))
 
 
 def _sums(sums: dict) -> pd.DataFrame:
@@ -361,14 +404,11 @@ def _name_keys(names: DataFrame, col: str, field: str) -> DataFrame:
     return names.select(name.alias("n")).where("n is not null").distinct().select(F.lit(field).alias("field"), _keys(skeleton)("n").alias("key")).where("key <> ''").distinct()
 
 
-def _whole_listed(rows: DataFrame, more: DataFrame) -> DataFrame:
-    """rows with the column listed: whether a value that a line break might split is, as a whole, one of more."""
-    breaks = F.col("raw").contains("\n") & F.col("delims").contains("\n")
+def _whole_known(long: DataFrame, known: DataFrame) -> DataFrame:
+    """(field, raw) of the values that hold a line break and are one value as a whole: they stand alone elsewhere."""
     whole = _keys(lambda r: skeleton(_unbracketed(r)))("raw").alias("key")
-    lines = rows.where(breaks).select("field", "raw").distinct().select("field", "raw", whole)
-    lines = lines.join(more, ["field", "key"], "left_semi").select("field", "raw", F.lit(True).alias("listed"))
-    broken = rows.where(breaks).join(lines, ["field", "raw"], "left").select(*rows.columns, F.coalesce("listed", F.lit(False)).alias("listed"))
-    return rows.where(~breaks).withColumn("listed", F.lit(False)).unionByName(broken)
+    lines = long.where(F.col("raw").contains("\n")).select("field", "raw").distinct().select("field", "raw", whole)
+    return lines.join(known, ["field", "key"], "left_semi").select("field", "raw")
 
 
 def split_packed(
@@ -390,35 +430,54 @@ def split_packed(
     # one shard goes along with the functions; of more, the places are looked for one after another and the names joined
     listed = {f: s[0] for f, s in shards.items() if len(s) == 1}
     many = {f: s for f, s in shards.items() if len(s) > 1}
-    known, more = vocabulary(long)
+    known = vocabulary(long)
     if many:
         long = long.withColumn("guard", F.array().cast("array<int>"))
         for f, parts in many.items():
             long = _guarded(long, f, parts)
-            more = more.unionByName(_name_keys(*names[f], f))
+            known = known.unionByName(_name_keys(*names[f], f))
+        known = known.distinct()
     else:
         long = long.withColumn("guard", F.lit(None).cast("array<int>"))
-    more = cut_lineage(more.distinct().persist())
+    known = known.persist()
     sharded = frozenset(many)
-    found = cut_lineage(infer_delimiters(long, listed, known, sharded, more).persist())
-    small = found.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    rest = found.where("src is null").select("field", F.col("delims").alias("rest"))
-    own = found.where("src is not null")
-    with_own = long.join(F.broadcast(own) if small else own, ["src", "field"], "left").join(F.broadcast(rest), ["field"], "left")
-    with_own = with_own.select("rid", "field", "raw", F.coalesce("delims", "rest", F.lit("")).alias("delims"), "guard")
-    with_own = _whole_listed(with_own, more)
+    found = infer_delimiters(long, listed, sharded, known).persist()
+    small = found.limit(BROADCAST_SOURCES + 1).collect()
+    lines = _whole_known(long, known)
+    few = lines.limit(BROADCAST_LINES + 1).collect()
+    whole = frozenset((r["field"], r["raw"]) for r in few) if len(few) <= BROADCAST_LINES else None
+    if len(small) <= BROADCAST_SOURCES:
+        rest = {r["field"]: r["delims"] for r in small if r["src"] is None}
+        own = {(r["src"], r["field"]): tuple(sorted({*r["delims"], *(set(rest.get(r["field"], ())) - set(r["seen"]))})) for r in small if r["src"] is not None}
+        own.update({(None, f): tuple(ds) for f, ds in rest.items()})
+        long = long.withColumn("delims", F.lit(None).cast("array<string>"))
+    else:
+        own = None
+        rest = found.where("src is null").select("field", F.col("delims").alias("rest"))  # a row a field
+        long = long.join(found.where("src is not null"), ["src", "field"], "left").join(F.broadcast(rest), ["field"], "left")
+        none = F.array().cast("array<string>")
+        every = F.array_union(F.coalesce("delims", none), F.array_except(F.coalesce("rest", none), F.coalesce("seen", none)))
+        long = long.withColumn("delims", F.sort_array(every)).drop("rest", "seen")
+    if whole is None:
+        broken = F.when(F.col("raw").contains("\n"), F.col("raw"))
+        long = long.withColumn("broken", broken).join(lines.select("field", F.col("raw").alias("broken"), F.lit(True).alias("whole")), ["field", "broken"], "left")
+    else:
+        long = long.withColumn("whole", F.lit(None).cast("boolean"))
+    sent = df.sparkSession.sparkContext.broadcast((own, whole))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:
+    def split(src: pd.Series, field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:
+        by_source, lone = sent.value
         memo: dict[tuple, list[str]] = {}
         out = []
-        for f, r, d, g, w in zip(field, raw, delims, guard, whole):
-            key = (f, r, d)
+        for s, f, r, d, g, w in zip(src, field, raw, delims, guard, whole):
+            ds = tuple(d) if by_source is None else by_source[s, f] if (s, f) in by_source else by_source.get((None, f), ())
+            key = (f, r, ds)
             if key not in memo:
                 spans = _placed(_unbracketed(r), zip(g[::2], g[1::2])) if f in sharded else None
-                memo[key] = split_value(r, tuple(d.split("\u001f")) if d else (), _names(listed.get(f, ())), known.get(f, frozenset()), spans, bool(w))
+                memo[key] = split_value(r, ds, _names(listed.get(f, ())), spans, bool(w) if lone is None else (f, r) in lone)
             out.append(memo[key])
         return pd.Series(out)
 
-    items: Column = split("field", "raw", "delims", "guard", "listed")
-    return with_own.select("rid", "field", items.alias("items")).select("rid", "field", F.size("items").alias("n_items"), F.posexplode("items").alias("p0", "item")).select(F.col("rid").alias(id_col), "field", (F.col("p0") + 1).cast("int").alias("pos"), "item", "n_items")
+    items: Column = split("src", "field", "raw", "delims", "guard", "whole")
+    return long.select("rid", "field", items.alias("items")).select("rid", "field", F.size("items").alias("n_items"), F.posexplode("items").alias("p0", "item")).select(F.col("rid").alias(id_col), "field", (F.col("p0") + 1).cast("int").alias("pos"), "item", "n_items")

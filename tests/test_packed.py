@@ -103,19 +103,43 @@ def test_shards_change_nothing(spark, rows, monkeypatch, size):
     assert {(95, "skills", 1, "P, Q", 2), (95, "skills", 2, "R, S", 2), (0, "skills", 2, "Red", 2), (200, "skills", 2, "Low Elm", 2), (209, "skills", 1, "Low Elm", 1), (210, "skills", 1, "Zed Yard", 1)} <= set(one)
 
 
-@pytest.mark.parametrize("share", [0.0005, 0.5])
-def test_rare_values_are_known_at_every_size(spark, rows, monkeypatch, share):
-    """A vocabulary of many equally frequent values, none of which has the share that is sent to the executors."""
+def test_rare_values_are_known_at_every_size(spark, rows):
+    """Many equally frequent values, each of which stands alone twice, behind a delimiter that needs known pieces."""
+    n = 2_500
+    names = [f"{a}{b}{c}mar" for a in "bdfgklmnprstvz" for b in "aeiou" for c in "bdfgklmnprstvzbdfgklmnprstvzbdfgklmnprstvz"][: n // 2]
+    names = list(dict.fromkeys(names))
+    data = [(i, "s", names[i % len(names)], "", 0, "") for i in range(2 * len(names))]
+    data += [(50_000 + i, "s", f"{names[i]} and {names[i + 1]}", "", 0, "") for i in range(0, 400, 2)]
+    data += [(90_000, "s", "ab\ncd", "", 0, ""), (90_001, "s", "ab cd", "", 0, ""), (90_002, "s", "ab cd", "", 0, "")]
+    got = rows(split_packed(_table(spark, data), "rid", ["skills"], "src").where("rid >= 50000"))
+    assert len([r for r in got if 50_000 <= r[0] < 50_400 and r[4] == 2]) == 400
+    assert (90_000, "skills", 1, "ab cd", 1) in got
+
+
+def test_types_tell_delimiters_of_open_values(spark, rows):
+    """No piece stands alone anywhere: integers, codes, dates and names are split by their types, prose and dates aren't."""
+    data = [(i, "n", f"{i};{i + 1};{i + 2}", "", 0, "") for i in range(300)]
+    data += [(1_000 + i, "u", f"user{i}; user{i + 1}; user{i + 2}", "", 0, "") for i in range(300)]
+    data += [(2_000 + i, "d", f"01/0{i % 9 + 1}/20{i % 90 + 10}|02/03/2021", "", 0, "") for i in range(60)]
+    data += [(3_000 + i, "w", f"Xa{'bcdefghij'[i % 9]}lo, Yo{'klmnopqrs'[i % 9]}ran", "", 0, "") for i in range(60)]
+    data += [(4_000 + i, "p", f"He went home, and then, after some {i} hours of talk about it, slept. So did they.", "", 0, "") for i in range(60)]
+    data += [(5_000 + i, "q", f"{i} {i + 5} {i + 9}", "", 0, "") for i in range(60)]
+    data += [(6_000 + i, "r", f"Lower Ka{'bcdefghij'[i % 9]}lo", "", 0, "") for i in range(60)]
+    n = {}
+    for r in rows(split_packed(_table(spark, data), "rid", ["skills"], "src")):
+        n.setdefault(r[0] // 1_000, set()).add(r[4])
+    assert n == {0: {3}, 1: {3}, 2: {2}, 3: {2}, 4: {1}, 5: {3}, 6: {1}}
+
+
+@pytest.mark.parametrize("bound", ["BROADCAST_SOURCES", "BROADCAST_LINES"])
+def test_bounds_of_broadcasts_change_nothing(spark, rows, monkeypatch, bound):
     from tessera.operators import packed
 
-    n = 2_500
-    data = [(i, "s", f"w{i % n}x", "", 0, "") for i in range(2 * n)] + [(2 * n + i, "s", f"w{i}x/w{i + 1}x", "", 0, "") for i in range(0, 400, 2)]
-    data += [(9_000, "s", "w7x\nw8x", "", 0, ""), (9_001, "s", "ab\ncd", "", 0, ""), (9_002, "s", "ab cd", "", 0, ""), (9_003, "s", "ab cd", "", 0, "")]
-    data += [(10_000 + i, "s", "w1x\nw2x", "", 0, "") for i in range(50)]
-    monkeypatch.setattr(packed, "SHARE", share)
-    got = rows(split_packed(_table(spark, data), "rid", ["skills"], "src").where("rid >= 5000"))
-    assert len([r for r in got if 5_000 <= r[0] < 5_400 and r[4] == 2]) == 400
-    assert (9_000, "skills", 2, "w8x", 2) in got and (9_001, "skills", 1, "ab cd", 1) in got
+    data = [(i, "ab"[i % 2], ["Red/Blue", "Red Blue", "Red", "Blue", "Tall Oak", "Tall\nOak", "Red\nBlue"][i % 7], "", 0, "") for i in range(140)]
+    one = rows(split_packed(_table(spark, data), "rid", ["skills"], "src"))
+    assert (5, "skills", 1, "Tall Oak", 1) in one
+    monkeypatch.setattr(packed, bound, 0)
+    assert rows(split_packed(_table(spark, data), "rid", ["skills"], "src")) == one
 
 
 def test_empty_table(spark):
