@@ -2,12 +2,15 @@
 
 Method. (1) Characters are mapped back to the bytes of a legacy code page; a byte-structure automaton finds the maximal
 spans of well-formed multibyte UTF-8 in them, and only those spans are decoded, again and again until none is left
-(text may be garbled twice). Of several code pages the one with the most plausible result is taken. Spans are judged one
-by one: letters that the corpus lacks are accepted in a run of RUN characters of one script, or beside enough usual ones. (2) Text of one
-single-byte code page read as another has no byte structure. It is found by context: for each character beyond ASCII
-the corpus gives how often it stands between its neighbours; re-reading a passage under another code page is accepted
-where the likelihood gain of the best contiguous passage (maximal sum) is large. (3) A replacement character means
-that the original is lost.
+(text may be garbled twice). Structure decides: a span counts where it can't stand in a right text (a control, a sign
+or an opening quote within a word, a capital after a small letter, two scripts in a word) or where it gives several
+characters of one script, and its decoded characters fit the words around it. With one such span in a value, the
+others that fit are decoded, too. The statistics of the corpus only choose between code pages that explain a value
+equally well, and decide on spans that a right text might hold as they are. (2) Text of one
+single-byte code page read as another has no byte structure. It is found by context, in values without such spans only:
+for each character beyond ASCII the corpus gives how often it stands between its neighbours; re-reading a passage under
+another code page is accepted where the likelihood gain of the best contiguous passage (maximal sum) is large. (3) A
+replacement character means that the original is lost.
 
 The context statistics count all values; their keys are classes of neighbours, so their number is bounded by the code
 pages and not by the corpus, and they are aggregated before the exchange.
@@ -28,19 +31,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.textform import look_alikes
+
 #: Code pages as which UTF-8 may have been read. Bytes that a page leaves open are read as C1 controls.
 PAGES = ("cp1252", "mac_roman", "cp437", "cp850", "cp1250", "iso8859_2", "cp1251", "cp1253", "cp1254", "cp1257", "iso8859_15", "cp866", "koi8_r")
 #: (page of the bytes, page as which they were read) of single-byte text.
 SWAPS = (("cp1252", "mac_roman"), ("mac_roman", "cp1252"))
 #: Least log-likelihood gain for re-reading a passage, and for the character that gains most in it.
 LEAST_GAIN, LEAST_PEAK = 2.5, 2.0
+#: Spans proven by structure beside which others are decoded though their characters fit less.
+CARRY = 3
 #: What well-formed bytes weigh against the statistics of contexts, in log-likelihood a character.
 STRUCTURE = 3.0
 #: Well-formed characters of one script in a row that are taken whether or not the corpus has them, and so many if they
 #: might be a word of another script as they stand.
 RUN, LONG_RUN = 3, 6
-#: Usual decoded characters that speak for a page, for each unusual one that is decoded with them.
-CARRY = 3
 #: Times that text may have been garbled.
 DEPTH = 4
 #: Most different (neighbour, character, neighbour) that go to the driver; bounded by classes, see _near.
@@ -201,8 +206,69 @@ def contexts(text: str) -> Iterator[tuple[str, str, str]]:
 _SIGNS = frozenset("’‘“”–—…½¼¾•°§©®™«»\xa0")
 
 
-#: Characters by which the usual code pages show bytes: text garbled twice goes through them.
-_STEP_CHARS = frozenset(c for page in ("cp1252", "mac_roman", "cp437", "cp850") for c in to_bytes(page))
+_LOOKS = look_alikes()
+#: Characters by which the code pages show bytes: text garbled twice goes through them.
+_STEP_CHARS = frozenset(c for page in PAGES for c in to_bytes(page))
+#: Latin letters of living languages beyond Latin-1 and Extended-A.
+_MORE_LATIN = frozenset("ƠơƯưȘșȚțǍǎǏǐǑǒǓǔƏəǪǫ")
+
+
+@lru_cache(maxsize=65536)
+def _kind(c: str) -> str:
+    return unicodedata.category(c)
+
+
+@lru_cache(maxsize=65536)
+def _apart(c: str) -> bool:
+    """Whether a character is a sign that doesn't touch letters in right texts."""
+    return _kind(c)[0] == "S" or _kind(c) == "No"
+
+
+def _mixed(a: str, b: str) -> bool:
+    """Whether two letters side by side are of two scripts; words with look-alike letters aren't garbled."""
+    return a not in _LOOKS and b not in _LOOKS and _script(a) != _script(b)
+
+
+def _odd(text: str, a: int, b: int) -> bool:
+    """Whether text[a:b] can't stand where it does in a right text."""
+    left, right = text[a - 1] if a else " ", text[b] if b < len(text) else " "
+    seq = left + text[a:b] + right
+    for i in range(1, len(seq)):
+        c, before = seq[i], seq[i - 1]
+        if before.isalpha() and c.isalpha() and ((c.isupper() and before.islower()) or _mixed(c, before)):
+            return True
+        if i == len(seq) - 1:
+            break
+        after = seq[i + 1]
+        if "\x80" <= c <= "\x9f" or (_apart(c) and (before.isalpha() or after.isalpha())):
+            return True
+        if before.isalpha() and after.isalpha() and c not in "’·–—" and _kind(c) in ("Ps", "Pi", "Po", "Pf", "Pe"):
+            return True
+    return False
+
+
+@lru_cache(maxsize=65536)
+def _written(c: str) -> bool:
+    """Whether a decoded character may stand alone between Latin letters or signs: a Latin letter of living languages or
+    a sign in use."""
+    if c.isalpha():
+        return c <= "ſ" or "Ạ" <= c <= "ỹ" or c in _MORE_LATIN or c in "ﬁﬂ"
+    if _kind(c) in ("Cn", "Co", "Cs", "Cc", "Mc", "Me", "Lm") or (_kind(c) == "Mn" and not "\u0300" <= c <= "\u036f"):
+        return False
+    return c <= "ſ" or c in _STEP_CHARS or "\u02b0" <= c <= "\u036f" or "\u2000" <= c <= "\u27ff" or c == "�" or c >= "\U0001f000"
+
+
+def _fits(text: str, a: int, b: int, new: str) -> bool:
+    """Whether a decoded span fits where it stands: its letters are Latin ones or of the script of their neighbours,
+    not small where capitals go before, and no oddity is left."""
+    seq = (text[a - 1] if a else " ") + new + (text[b] if b < len(text) else " ")
+    for i in range(1, len(seq) - 1):
+        c = seq[i]
+        if not _written(c) and not (c.isalpha() and any(x.isalpha() and not _written(x) and _script(x) == _script(c) for x in (seq[i - 1], seq[i + 1]))):
+            return False
+        if c.islower() and seq[i - 1].isupper() and a > 1 and text[a - 2].isupper() and i == 1:
+            return False
+    return not _odd(seq, 1, len(seq) - 1)
 
 
 class Model:
@@ -227,69 +293,60 @@ class Model:
     def _score(self, p: str, c: str, n: str) -> float:
         return math.log(self.n3.get((p, c, n), 0) + 0.05 * min(self.n2[p, c, 0], self.n2[0, c, n]) + 1e-4 * self.n1[c] + 1e-3)
 
-    def _usual(self, c: str) -> bool:
-        """Whether a decoded character may be what was meant, or a step to it: one that the corpus has, a Latin letter,
-        a sign, or a character of the usual code pages."""
-        kind = unicodedata.category(c)
-        return self.n1[c] > 0 or c in _STEP_CHARS or kind[0] in "PSZN" or unicodedata.name(c, "").startswith("LATIN")
-
     def _mean(self, text: str, places: list[int]) -> float:
         return sum(self.score(*t) for t in contexts_at(text, places)) / len(places)
 
-    def _judge(self, text: str, runs: list[tuple[int, int, str]]) -> tuple[list, list, list]:
-        """Of the well-formed spans under a page: those to decode, those of them with usual characters only, and those
-        of the others whose structure is proof enough. Unusual spans are decoded where one is solid or where the usual
-        ones outweigh them; else they alone stay as they are."""
-        sure = [r for r in runs if all(map(self._usual, r[2]))]
-        if len(sure) == len(runs):
-            return runs, sure, []
-        odd = [r for r in runs if not all(map(self._usual, r[2])) and _possible(r[2])]
-        solid = [r for r in odd if _solid(text[r[0] : r[1]], r[2])]
-        if not solid and sum(len(r[2]) for r in sure) < CARRY * sum(len(r[2]) for r in odd):
-            odd = []
-        return sorted(sure + odd), sure, solid
+    def _known(self, c: str) -> bool:
+        return c in _SIGNS or self.n1[c] > 0
+
+    def _step(self, text: str, page: str, proven: bool) -> tuple[tuple, Decoded, bool] | None:
+        """(rank, text with the page's spans decoded, whether it may be the original), or None. proven: whether the text came
+        out of a decoding itself."""
+        runs = _runs(text, page)
+        if not runs:
+            return None
+        solid = {r for r in runs if _solid(text[r[0] : r[1]], r[2])}
+        scripts = {_script(c) for r in solid for c in r[2] if c.isalpha()}
+        odd = {r for r in runs if _odd(text, r[0], r[1])}
+        fits = {r for r in runs if r in solid or _fits(text, *r)}
+        proofs = len(solid) + len((odd & fits) - solid)
+        # beside CARRY times as many proofs, spans are decoded though they fit less, and those of the scripts that the
+        # proofs show; an odd one may be a step of a text that was garbled several times
+        rest = [r for r in runs if r not in fits and _possible(r[2])]
+        carried = {r for r in rest if proofs >= CARRY * len(rest) or (scripts and all(_script(c) in scripts for c in r[2] if c.isalpha()))}
+        steps = {r for r in odd if all(c in _STEP_CHARS for c in r[2])} - fits - carried
+        kept = [r for r in runs if r in fits or r in carried or r in steps]
+        if not kept:
+            return None
+        proof = proven or proofs > 0 or bool(steps)
+        usual = sum(all(map(self._known, r[2])) for r in kept)
+        d = _decoded(text, kept)
+        if not proof:  # nothing but spans that a right text might hold: the corpus must speak for them
+            least, mean = self._mean(text, d.was), self._mean(d.text, d.now)
+            if not ((usual == len(kept) and mean > least - STRUCTURE) or all(c in _SIGNS for c in d.got)):
+                return None
+        scripts = {_script(c) for c in d.got if c.isalpha() or _kind(c) == "Mn"}
+        marks = sum(_kind(c) == "Mn" for c in d.got)
+        controls = sum(text[i] in _shown(page) for i in d.was)
+        rare = sum(not self._known(c) for c in d.got)
+        # the page that explains the most, with the fewest controls that it would have shown otherwise, in the fewest
+        # scripts, with nothing odd left; then the one whose characters the corpus has, then the most usual where they stand
+        rank = (-len(d.was), controls, max(1, len(scripts)), marks, bool(steps), rare, -self._mean(d.text, d.now), PAGES.index(page))
+        return rank, d, not steps
 
     def unfold(self, text: str) -> str:
-        """The text with UTF-8 spans decoded, repeatedly, each time under the page whose characters are the most usual
-        where they stand. Bytes don't form characters by chance: the outcome may be somewhat less usual than what was
-        there, if the corpus has its characters at all, and plain signs are always taken. Long spans are taken for their
-        structure, whether or not the corpus has their characters."""
-        found, now, least = text, text, None
+        """The text with UTF-8 spans decoded, repeatedly, each time under the page that explains the most of it."""
+        found = now = text
         for _ in range(DEPTH):
-            best = None
             if not _any_hint().search(now):
                 break
-            for page in PAGES:
-                runs = _runs(now, page)
-                if not runs:
-                    continue
-                kept, sure, solid = self._judge(now, runs)
-                if not kept:
-                    continue
-                d, plain = _decoded(now, kept), _decoded(now, sure)
-                mean = self._mean(plain.text, plain.now) if sure else -math.inf
-                if least is None and len(sure) == len(runs):
-                    least = self._mean(now, d.was)
-                # the page that explains the most by usual characters and solid spans, then by all, with the fewest
-                # controls that it would have shown otherwise, in the fewest scripts; then the most usual result
-                trusted = len(plain.was) + sum(b - a for a, b, _ in solid)
-                scripts = len({_script(c) for c in d.got if c.isalpha()}) if solid else 0
-                controls = sum(now[i] in _shown(page) for i in d.was) if solid else 0
-                rank = (-trusted, -len(d.was), controls, scripts, -mean)
-                if best is None or rank < best[0]:
-                    best = (rank, d, plain, solid)
-            if best is None:
+            steps = [s for page in PAGES if (s := self._step(now, page, now != text))]
+            if not steps:
                 break
-            (_, d, plain, solid), mean = best, -best[0][-1]
-            if plain.now and least is None:
-                least = self._mean(now, plain.was)
-            got = plain.got
-            known = all(self.n1[c] > 0 or c in _SIGNS for c in got)
+            _, d, whole = min(steps, key=lambda s: s[0])
             now = d.text
-            if solid or mean > least or (known and mean > least - STRUCTURE) or all(c in _SIGNS for c in got):
+            if whole and not any("\x80" <= c <= "\x9f" for c in d.got):
                 found = now
-                if plain.now:
-                    least = max(least, mean)
         return found
 
     def reread(self, text: str) -> str:

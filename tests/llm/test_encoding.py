@@ -104,3 +104,27 @@ def test_table(spark, rows):
     assert garbled(df, "id", ["name", "text"]).where("id = 100").count() == 2
     assert garbled(df.limit(0), "id", ["name"]).collect() == []
     assert learn(df.limit(0), ["name"]).n3 == {}
+
+
+@pytest.mark.parametrize("page", PAGES)
+@pytest.mark.parametrize("times", [1, 2])
+@pytest.mark.parametrize("text", ["Grüße", "Łódź", "Москва", "Ελλάδα", "東京都", "Ärger", "naïve Œuvre"])
+def test_structure_decides_without_any_statistics(text, times, page):
+    bad = text
+    for _ in range(times):
+        bad = misread(bad, page)
+    assert Model({}).restore(bad) == text
+    assert Model({}).restore(text) is None
+
+
+@pytest.mark.parametrize("text", ["CAFÉ™ and OLÉ®", "»Ähnlich«, “Éloki”, ‘à la’", "4½ m², 20 °C, 5 €", "ĐÀ NẴNG", "Straße… “Spaß”", "L’Œuvre – déjà-vu"])
+def test_right_text_without_statistics_stays(text):
+    assert Model({}).restore(text) is None
+
+
+def test_what_is_restored_was_garbled():
+    """The restored text, misread as the page again, gives the garbled text."""
+    for text in SENTENCES:
+        for page in ("cp1252", "mac_roman", "cp437", "cp1250"):
+            got = M.restore(misread(text, page))
+            assert misread(got, page) == misread(text, page)
