@@ -6,24 +6,38 @@ caches bounded by the number of code points.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
 # Single characters of other scripts (and of phonetic alphabets) that are drawn like a Latin letter,
-# each followed by that letter. From the public Unicode confusables data, restricted to letters.
+# each followed by that letter. From the public Unicode confusables data, restricted to letters. What Unicode itself
+# tells (compatibility forms, small capitals, Lisu letters by their names) isn't listed but derived.
 LOOK_ALIKES = """
 АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT УY ХX ҮY Ӏl аa еe оo рp сc уy хx ѕs іi јj һh ԁd ԛq ԝw ӏl
 ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX αa γy ιi κk νv οo ρp υu
 օo ոn սu հh ցg
-ɑa ɡg ıi ȷj ɩi ʏY ʀR ɴN ʜH ʟL ᴀA ᴏo ᴄc ᴠv ᴡw ᴢz
+ᎠD ᎡR ᎢT ᎥI ᎪA ᎫJ ᎬE ᎳW ᎷM ᎻH ᎽY ᏀG ᏃZ ᏏB ᏙV ᏚS ᏞL ᏟC ᏢP ᏦK
+ɑa ɡg ıi ȷj ɩi ᴏo ᴄc ᴠv ᴡw ᴢz
+ⲟo ⲞO ⲣp ⲢP ⲥc ⲤC ⲭx ⲬX ⲀA ⲂB ⲈE ⲎH ⲒI ⲔK ⲘM ⲚN ⲦT
 """
 
 #: Hyphens that are drawn as the ordinary one.
-HYPHENS = "‐‑﹣－"
+HYPHENS = "‐‑⁃−˗﹣－"
+
+
+_SMALL_CAPITAL = re.compile(r"LATIN LETTER SMALL CAPITAL ([A-Z])")
+_LISU = re.compile(r"LISU LETTER (?:([B-DF-HJ-NP-TV-Z])A|([AEIOU]))")
 
 
 def look_alikes() -> dict[str, str]:
-    return {pair[0]: pair[1] for pair in LOOK_ALIKES.split()}
+    """Letter -> the Latin letter that it looks like: the listed ones and those that tell by their names."""
+    out = {pair[0]: pair[1] for pair in LOOK_ALIKES.split()}
+    for o in (*range(0x1D00, 0x1D80), *range(0xA720, 0xA800), *range(0x0250, 0x02B0), *range(0xA4D0, 0xA500)):
+        name = unicodedata.name(chr(o), "")
+        if m := _SMALL_CAPITAL.fullmatch(name) or _LISU.fullmatch(name):
+            out.setdefault(chr(o), m[1] or m[2])
+    return out
 
 
 _LOOKS = look_alikes()
@@ -44,11 +58,16 @@ def blank(ch: str) -> bool:
 @lru_cache(maxsize=65536)
 def compatible(ch: str) -> str:
     """The ordinary form of a character that Unicode keeps only for compatibility: full width, ligatures, Roman
-    numerals, mathematical letters. Fractions, superscripts and signs stay: they mean something else."""
+    numerals, letters in circles and mathematical letters. Fractions, superscripts and signs stay: they mean something
+    else."""
     if ch in HYPHENS:
         return "-"
-    o = ord(ch)
-    if 0xFF01 <= o <= 0xFF5E or 0xFB00 <= o <= 0xFB06 or 0x2160 <= o <= 0x217F or 0x1D400 <= o <= 0x1D7FF:
+    if ch.isascii():
+        return ch
+    tag = unicodedata.decomposition(ch).partition(" ")[0]
+    kind = unicodedata.category(ch)
+    letter = kind[0] == "L" or kind == "Nl" or unicodedata.name(ch, "").startswith(("CIRCLED LATIN", "NEGATIVE CIRCLED LATIN"))
+    if tag == "<wide>" or (tag in ("<font>", "<narrow>") and (letter or kind == "Nd")) or (tag in ("<circle>", "<compat>") and letter):
         return unicodedata.normalize("NFKC", ch)
     return ch
 
