@@ -439,14 +439,16 @@ def _frame(c: Counter) -> pd.DataFrame:
     return pd.DataFrame([(*key, n) for key, n in c.items()], columns=["p", "c", "n", "k"])
 
 
-def garbled(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame:
+def garbled(df: DataFrame, id_col: str, fields: list[str], learn_from: list[str] | None = None) -> DataFrame:
     """(id_col, field, raw, restored) for every garbled value; restored is '' where characters are lost for good.
 
+    learn_from: the fields of which the statistics are taken (fields, if not given).
+
     Null, empty and ASCII-only values are never garbled. Repeated rows each give a row. Very long texts are treated
     whole. Of code pages with equally usual results the first in PAGES counts. Extra columns are ignored, whatever
     their names. An empty table gives an empty result.
     """
-    counts = df.sparkSession.sparkContext.broadcast(learn(df, fields).n3)
+    counts = df.sparkSession.sparkContext.broadcast(learn(df, learn_from or fields).n3)
     cache: dict[int, Model] = {}
 
     def restore(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -4,7 +4,7 @@ Method. (1) The units of the corpus (code points, and letters with combining mar
 result is bounded by the alphabet. (2) Units and strings that are drawn alike are united by union-find: a unit with its
 composed form, with the ordinary form of a compatibility character, with the letter that it looks like, an invisible
 character with the empty string. The union is transitive. (3) Each class is represented by its most frequent ordinary
-member. (4) An Aho-Corasick automaton over all units that aren't their representative rewrites every value, greedily,
+member (letters that only look like Latin ones, of whatever script, stand for none). (4) An Aho-Corasick automaton over all units that aren't their representative rewrites every value, greedily,
 longest unit first. Letters of another script are rewritten only in words of Latin letters.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,8 @@ from tessera.functions.textform import blank, compatible, invisible, look_alikes
 
 #: Most combining marks of a unit; longer stacks are composed mark by mark.
 MARKS = 2
-#: Units with a share below one in so many are still classed: no cut is made. The count bounds what the driver gets:
-#: code points (1.1 million at most) and composable sequences of them.
+#: Different units that go to the driver at most: code points (1.1 million at most) and letters with marks. Beyond it an
+#: error is raised; nothing is cut.
 MAX_UNITS = 2_000_000
 
 _LOOKS = look_alikes()
@@ -129,7 +129,7 @@ def representatives(counts: dict[str, int]) -> dict[str, str]:
 
     out = {}
     for members in classes.members().values():
-        fit = [m for m in members if ordinary(m)]
+        fit = [m for m in members if ordinary(m) and not any(c in _LOOKS for c in m)]
         if len(members) < 2 or not fit:
             continue
         # frequency decides; ASCII goes before other letters of the same frequency, then the order of the code points
@@ -146,6 +146,8 @@ class Rewriter:
         self.dropped = {ord(u): None for u, f in forms.items() if f == "" and len(u) == 1}
         #: units that hold letters of another script: rewritten in Latin words only
         self.foreign = {u for u in forms if any(c.isalpha() and not _latin(compatible(c)[0]) for c in u)}
+        #: whether ASCII characters always stand for themselves, so that texts of nothing else stay as they are
+        self.ascii_stays = not any(u.isascii() for u in forms)
         self.automaton = ahocorasick.Automaton()
         for u, f in forms.items():
             if f != "":
@@ -154,7 +156,7 @@ class Rewriter:
             self.automaton.make_automaton()
 
     def __call__(self, text: str) -> str:
-        if text.isascii():
+        if self.ascii_stays and text.isascii():
             return text
         seen = text.translate(self.dropped)
         out, at = [], 0
@@ -213,7 +215,14 @@ def consistent_forms(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame
 
     packed = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("raw")) for f in fields])).alias("p")
     long = df.select(F.col(id_col).alias("rid"), packed).select("rid", "p.field", "p.raw").where("raw is not null")
-    return long.select(F.col("rid").alias(id_col), "field", "raw", F.when(F.col("raw").rlike(r"^\p{ASCII}*+\z"), F.col("raw")).otherwise(rewrite("raw")).alias("clean"))
+    return long.select(F.col("rid").alias(id_col), "field", "raw", rewritten(F.col("raw"), forms, rewrite).alias("clean"))
+
+
+def rewritten(raw: Column, forms: dict[str, str], rewrite) -> Column:  # noqa: ANN001
+    """raw in the consistent form; texts that hold nothing but characters that stay don't leave the JVM."""
+    if any(u.isascii() for u in forms):
+        return rewrite(raw)
+    return F.when(raw.rlike(r"^\p{ASCII}*+\z"), raw).otherwise(rewrite(raw))
 
 
 def rewrite_all(texts: Iterable[str]) -> list[str]:

@@ -16,7 +16,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Every value that differs from its consistent form and isn't garbled."""
     card = table(spark, d, "card")
     forms = lookalikes.consistent_forms(card, "rec_id", ["name", "home_site"]).where("raw <> clean")
-    garbled = encoding.garbled(card, "rec_id", ["name"]).select("rec_id", "field").distinct()
+    garbled = encoding.garbled(card, "rec_id", ["name"], learn_from=["name", "text"]).select("rec_id", "field").distinct()
     return forms.join(garbled, ["rec_id", "field"], "left_anti").select("rec_id", "field", "clean")
 
 

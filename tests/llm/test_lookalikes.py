@@ -32,6 +32,9 @@ def form(text):
         ("Φύλακας", "Φύλακας"),
         ("灯籠の渡し", "灯籠の渡し"),
         ("оf the", "of the"),
+        ("Ꭺlpha ꓮlpha fⲟo ꜱite", "Alpha Alpha foo Site"),
+        ("ⓐbc 𝐀bc a−b", "abc Abc a-b"),
+        ("x² ½ ™", "x² ½ ™"),
         ("“a” ½ … – b\nc\td", "“a” ½ … – b\nc\td"),
         ("", ""),
         ("plain", "plain"),
@@ -57,6 +60,12 @@ def test_classes_are_transitive_and_frequency_decides():
     assert representatives(Counter({"a": 50, "а": 1}))["а"] == "a"
 
 
+def test_ascii_texts_get_the_same_form_as_others():
+    assert rewrite_all(["ı ı ı xı", "isi x", "isi Ö", "ısı Ö"]) == ["i i i xi", "isi x", "isi Ö", "isi Ö"]
+    w = Rewriter({"i": "ı"})  # whatever stands for a class, it does so in all texts
+    assert (w("isi x"), w("isi Ö")) == ("ısı x", "ısı Ö")
+
+
 def test_units():
     assert list(units("éx")) == ["é", "e", "́", "x"]
 
