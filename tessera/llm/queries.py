@@ -44,7 +44,7 @@ def _entered(spark: SparkSession, d: str) -> DataFrame:
     one = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("raw")) for f in ("race", "site_type")])).alias("p")
     single = card.select("rec_id", one).select("rec_id", "p.field", F.lit(1).alias("pos"), "p.raw").where("raw is not null")
     packed = split_packed(card, "rec_id", ["home_site"], "source", {"home_site": (sites, "site_name")}).select("rec_id", "field", "pos", F.col("item").alias("raw"))
-    return single.unionByName(packed).select("rec_id", "field", "pos", F.when(F.col("raw").rlike(r"^\p{ASCII}*+\z"), F.col("raw")).otherwise(rewrite("raw")).alias("value"))
+    return single.unionByName(packed).select("rec_id", "field", "pos", lookalikes.rewritten(F.col("raw"), forms, rewrite).alias("value"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -54,15 +54,17 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
         "home_site": (table(spark, d, "site_ref"), "site_key", ["site_name"], ["site_name"], False),
         "site_type": (table(spark, d, "site_type_ref"), "site_type", ["site_type"], ["site_type", "label"], True),
     }
-    entered = _entered(spark, d)
-    out = None
-    for f, (ref, key, exact, names, initials) in refs.items():
-        listed = ref.select(F.col(exact[0]).alias("value")).where("value is not null").distinct()
-        rows = entered.where(F.col("field") == f).join(listed, "value", "left_anti").persist()
-        answers = canonical.nearest(rows.select("value").distinct(), ref, key, names, initials)
-        part = canonical.with_keys(rows, "value", answers).select("rec_id", "field", "pos", "ref_key")
-        out = part if out is None else out.unionByName(part)
-    return out
+    listed = None
+    for f, (ref, _, exact, _, _) in refs.items():
+        part = ref.select(F.lit(f).alias("field"), F.col(exact[0]).alias("value")).where("value is not null").distinct()
+        listed = part if listed is None else listed.unionByName(part)
+    rows = _entered(spark, d).join(listed, ["field", "value"], "left_anti").persist()
+    answers = None
+    for f, (ref, key, _, names, initials) in refs.items():
+        part = canonical.nearest(rows.where(F.col("field") == f).select("value").distinct(), ref, key, names, initials)
+        part = part.select(F.lit(f).alias("field"), "value", "ref_key")
+        answers = part if answers is None else answers.unionByName(part)
+    return canonical.with_keys(rows, ["field", "value"], answers).select("rec_id", "field", "pos", "ref_key")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import canonical
-from tessera.llm.canonical import Shard, Tree, allowed, distance, nearest, with_keys
+from tessera.llm.canonical import Entry, Shard, Tree, _entries, allowed, distance, nearest, with_keys
 
 NAMES = ["Velmarrin", "Dûnreth", "Great Wyrm", "River Sprite", "Halvéni", "Lowland Man", "Haven", "Free Hold", "Free Holt Inn"]
 ENTRIES = [(f"K{i}", n) for i, n in enumerate(NAMES)]
@@ -59,14 +59,29 @@ def test_tree_finds_all_that_a_scan_finds():
     ],
 )
 def test_best(value, key):
-    found = Shard(ENTRIES, True).best(value)
+    entries = [Entry(k, n, "".join(w[0] for w in n.split()).casefold() if " " in n and not n.startswith("Free Holt") else None) for k, n in ENTRIES]
+    found = Shard(entries).best(value, frozenset(["the"]), frozenset(["(old", "race"]))
     assert (found and found[2]) == key
 
 
 def test_ties_go_to_the_nearest_as_written_then_the_lowest_key():
-    s = Shard([("B", "abcdef"), ("A", "abcdeg")], False)
-    assert s.best("abcdex")[2] == "A"
-    assert Shard([("B", "Résumé"), ("A", "Resume")], False).best("Résumé")[0] == 0
+    assert Shard([Entry("B", "abcdef"), Entry("A", "abcdeg")]).best("abcdex")[2] == "A"
+    for entries in ([Entry("k1", "Ost"), Entry("k2", "Öst")], [Entry("k2", "Öst"), Entry("k1", "Ost")]):
+        s = Shard(entries)
+        assert [s.best(v)[2] for v in ("Öst!", "Öst", "Ost", "OST", "ost.")] == ["k2", "k2", "k1", "k1", "k1"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 20_000])
+@pytest.mark.parametrize("bound", [0, 200_000])
+def test_shards_change_nothing(spark, monkeypatch, size, bound):
+    """Initials, forms and ties are decided over all entries."""
+    ref = spark.createDataFrame([("a", "Red Lion"), ("b", "Rose Lane"), ("c", "Öst"), ("d", "Ost"), ("e", "Blue Boar"), ("f", "Tall Oak")], "k string, n string")
+    asked = _values(spark, ["RL", "BB", "Öst!", "OST", "Blu Boar", "near Tall Oak", "near Blue Boar", "near Rose Lan", "near Nothing", "by Tall Oak"])
+    monkeypatch.setattr(canonical, "SHARD_ENTRIES", size)
+    monkeypatch.setattr(canonical, "ROUND", 2)
+    got = {r.value: r.ref_key for r in nearest(asked, ref, "k", ["n"], True, broadcast_entries=bound).collect()}
+    assert got == {"RL": "", "BB": "e", "Öst!": "c", "OST": "d", "Blu Boar": "e", "near Tall Oak": "f", "near Blue Boar": "e", "near Rose Lan": "b", "near Nothing": "", "by Tall Oak": "f"}
+    assert {r.short for r in _entries(ref, "k", ["n"], True).collect()} == {None, "bb", "to"}
 
 
 def test_thresholds():
@@ -84,7 +99,7 @@ def test_broadcast_and_sharded_agree(spark, monkeypatch):
     asked = _values(spark, [n[:-1] + "x" for n in names[:60]] + ["zzzzzzzz", "", "?"])
     a = {tuple(x) for x in nearest(asked, ref, "k", ["n"]).collect()}
     monkeypatch.setattr(canonical, "SHARD_ENTRIES", 70)
-    monkeypatch.setattr(canonical, "BLOCKS", 3)
+    monkeypatch.setattr(canonical, "ROUND", 3)
     b = {tuple(x) for x in nearest(asked, ref, "k", ["n"], broadcast_entries=10).collect()}
     assert a == b and ("zzzzzzzz", "") in a and len(a) == 63
     brute = {v.value: min(((distance(v.value, n), k) for k, n in zip([f"K{i:04}" for i in range(len(names))], names) if distance(v.value, n) <= 2), default=(0, ""))[1] for v in asked.collect()}
@@ -94,7 +109,7 @@ def test_broadcast_and_sharded_agree(spark, monkeypatch):
 def test_rows_get_their_keys(spark, rows):
     ref = spark.createDataFrame(ENTRIES, "k string, n string")
     data = spark.createDataFrame([(1, "GreatWyrm", "a"), (2, "GreatWyrm", "b"), (3, "nothing", "c"), (4, "x" * 300_000, "d")], "id int, v string, ref string")
-    answers = nearest(data.select(F.col("v").alias("value")).distinct(), ref, "k", ["n"])
-    assert rows(with_keys(data, "v", answers).select("id", "ref", "ref_key")) == [(1, "a", "K2"), (2, "b", "K2"), (3, "c", ""), (4, "d", "")]
+    answers = nearest(data.select(F.col("v").alias("value")).distinct(), ref, "k", ["n"]).withColumnRenamed("value", "v")
+    assert rows(with_keys(data, ["v"], answers).select("id", "ref", "ref_key")) == [(1, "a", "K2"), (2, "b", "K2"), (3, "c", ""), (4, "d", "")]
     assert nearest(_values(spark, []), ref, "k", ["n"]).collect() == []
     assert [r.ref_key for r in nearest(_values(spark, ["a"]), ref.limit(0), "k", ["n"]).collect()] == [""]
