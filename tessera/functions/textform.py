@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Sequence
 from functools import lru_cache
 
 # Single characters of other scripts (and of phonetic alphabets) that are drawn like a Latin letter,
@@ -82,13 +83,20 @@ def _drawn(ch: str) -> str:
     return unicodedata.normalize("NFD", out).casefold()
 
 
+_BLANK, _BLANKS = re.compile(r"\s"), re.compile(r"\s\s")
+
+
 def skeleton(text: str) -> str:
     """A key under which texts that are drawn alike are equal; case and the kind and number of blanks don't count."""
+    if text.isascii():
+        return " ".join(text.casefold().split())
     return " ".join("".join(map(_drawn, text)).split())
 
 
-def skeleton_with_origin(text: str) -> tuple[str, list[int]]:
+def skeleton_with_origin(text: str) -> tuple[str, Sequence[int]]:
     """The skeleton (inner runs of blanks as one, outer ones kept as one) and, for each of its characters, the index in text."""
+    if text.isascii() and not _BLANKS.search(text):
+        return _BLANK.sub(" ", text.casefold()), range(len(text))
     out: list[str] = []
     origin: list[int] = []
     for i, ch in enumerate(text):

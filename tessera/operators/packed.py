@@ -189,8 +189,10 @@ def split_value(value: str, delims: tuple[str, ...], names: Names, guarded: list
     known to be one value though it holds a line break.
     """
     text = _unbracketed(value)
-    guarded = _with_dates(text, names.spans(text) if guarded is None else guarded)
     inline = tuple(d for d in delims if d != "\n" and (d != " " or not _marked(text)))
+    if "\n" not in text and not _QUOTE.search(text) and not (inline and _delimiter(inline).search(text)):
+        return [c] if not _void(c := clean(text)) else []
+    guarded = _with_dates(text, names.spans(text) if guarded is None else guarded)
     pieces = _cut(text, inline, guarded)
     if "\n" in delims and "\n" in text and len(pieces) == 1:
         whole = skeleton(pieces[0])
@@ -213,32 +215,34 @@ def _cut(text: str, delims: tuple[str, ...], guarded: list[tuple[int, int]]) ->
         return pattern.split(text.strip())
     out: list[str] = []
     start = i = 0
-    fresh = True  # at the start of a piece
-    while i < len(text):
-        if fresh and text[i].isspace() and not pattern.match(text, i):
+    while True:
+        # a piece begins: a quoted stretch that ends at a delimiter is one
+        while i < len(text) and text[i].isspace() and not pattern.match(text, i):
             i += 1
+        if i < len(text) and text[i] in QUOTES and (end := _closing(text, i, pattern)):
+            out.append(text[i:end])
+            m = pattern.match(text, end)
+            i = start = m.end() if m else _skip(text, end)
             continue
-        if fresh and text[i] in QUOTES:
-            end = _closing(text, i, pattern)
-            if end:
-                out.append(text[i:end])
-                m = pattern.match(text, end)
-                i = start = m.end() if m else _skip(text, end)
-                continue
-        fresh = False
-        span = next((s for s in guarded if s[0] <= i < s[1]), None)
-        if span:
-            i = span[1]
-            continue
-        m = pattern.match(text, i)
-        if m and m.end() > i and not any(s[0] < m.end() and m.start() < s[1] for s in guarded):
-            out.append(text[start:i])
-            i = start = m.end()
-            fresh = True
-            continue
-        i += 1
-    out.append(text[start:])
-    return out
+        m = _next(text, i, pattern, guarded)
+        if m is None:
+            out.append(text[start:])
+            return out
+        out.append(text[start : m.start()])
+        i = start = m.end()
+
+
+def _next(text: str, i: int, pattern: re.Pattern, guarded: list[tuple[int, int]]) -> re.Match | None:
+    """The first delimiter from i on that doesn't touch a guarded place."""
+    while m := pattern.search(text, i):
+        inside = next((s for s in guarded if s[0] <= m.start() < s[1]), None)
+        if inside:
+            i = inside[1]
+        elif m.end() == m.start() or any(s[0] < m.end() and m.start() < s[1] for s in guarded):
+            i = m.start() + 1
+        else:
+            return m
+    return None
 
 
 def _skip(text: str, i: int) -> int:
@@ -464,16 +468,18 @@ def split_packed(
     else:
         long = long.withColumn("whole", F.lit(None).cast("boolean"))
     sent = df.sparkSession.sparkContext.broadcast((own, whole))
+    memo: dict[tuple, list[str]] = {}  # of one task
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def split(src: pd.Series, field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:
         by_source, lone = sent.value
-        memo: dict[tuple, list[str]] = {}
         out = []
         for s, f, r, d, g, w in zip(src, field, raw, delims, guard, whole):
             ds = tuple(d) if by_source is None else by_source[s, f] if (s, f) in by_source else by_source.get((None, f), ())
             key = (f, r, ds)
             if key not in memo:
+                if len(memo) > 200_000:
+                    memo.clear()
                 spans = _placed(_unbracketed(r), zip(g[::2], g[1::2])) if f in sharded else None
                 memo[key] = split_value(r, ds, _names(listed.get(f, ())), spans, bool(w) if lone is None else (f, r) in lone)
             out.append(memo[key])
