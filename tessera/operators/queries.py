@@ -44,7 +44,7 @@ def p6_records(spark: SparkSession, d: str) -> DataFrame:
     """All records in one consistent table, with the fields whose cast failed."""
     df = table(spark, d, "card_drop")
     types = {"card_no": "bigint", "name": "string", "mp": "string", "rarity": "string", "artist": "string", "category": "string", "subclass": "string"}
-    names = drift.field_classes(_changes(spark, d), df, list(types))
+    names = drift.field_classes(_changes(spark, d), list(types))
     rows = drift.unified(df, "payload", names, types, ["drop_id", "file_name"])
     return rows.withColumn("failed", F.array_join("failed", ","))
 
@@ -62,14 +62,8 @@ r AS (SELECT *, CASE WHEN raw IS NULL THEN 'columns' WHEN NOT ok THEN 'quoting'
   WHEN regexp_matches(v[9], '[\x00-\x08\x0B-\x1F\x7F-\x{{9F}}\x{{FFFD}}]') THEN 'text' END AS reason FROM u)
 """
 
-ORACLES = {
-    "p2_found": _P2 + "SELECT line_id, reason FROM r WHERE reason IS NOT NULL",
-    "p2_loaded": _P2
-    + "SELECT line_id, "
-    + ", ".join(f"v[{i}] AS {n}" for i, n in enumerate(strict_load.CARD_LINE.fields, 1))
-    + " FROM r WHERE reason IS NULL",
-    "p6_found": """
-WITH f AS (SELECT feed, file_name, min(dropped_at) AS first_at FROM card_drop GROUP BY ALL),
+_P6 = """
+WITH RECURSIVE f AS (SELECT feed, file_name, min(dropped_at) AS first_at FROM card_drop GROUP BY ALL),
 s AS (SELECT feed, file_name, row_number() OVER (PARTITION BY feed ORDER BY first_at, file_name) AS seq FROM f),
 r AS (SELECT s.feed, s.file_name, s.seq, json_extract_string(payload, '$.card_no') AS card, payload FROM card_drop c JOIN s USING (feed, file_name)),
 k AS (SELECT feed, file_name, seq, card, unnest(json_keys(payload)) AS path, payload FROM r),
@@ -94,11 +88,38 @@ z AS (SELECT m.*, m.n / least(ng.n, na.n) AS share FROM m JOIN ng ON ng.feed = m
 y AS (SELECT *, row_number() OVER (PARTITION BY feed, seq, old ORDER BY share DESC, n DESC, new) AS ro,
   row_number() OVER (PARTITION BY feed, seq, new ORDER BY share DESC, n DESC, old) AS rn FROM z WHERE share >= 0.35),
 x AS (SELECT feed, seq, old, new FROM y WHERE ro = 1 AND rn = 1)
+"""
+
+#: The names of each field follow from the renamings; a record's first value by name counts.
+_P6_RECORDS = _P6.rstrip() + """,
+wanted AS (SELECT unnest(['card_no', 'name', 'mp', 'rarity', 'artist', 'category', 'subclass']) AS field, unnest([1, 2, 3, 4, 5, 6, 7]) AS nr),
+edges AS (SELECT old AS a, new AS b FROM x UNION SELECT new, old FROM x),
+names AS (SELECT field, nr, field AS name FROM wanted UNION SELECT n.field, n.nr, e.b FROM names n JOIN edges e ON e.a = n.name WHERE e.b NOT IN (SELECT field FROM wanted)),
+held AS (SELECT c.drop_id, n.field, n.nr, n.name, json_extract(c.payload, '$."' || n.name || '"') AS raw FROM card_drop c, names n),
+given AS (SELECT * FROM held WHERE raw IS NOT NULL AND json_type(raw) <> 'NULL'),
+firsts AS (SELECT drop_id, field, nr, arg_min(raw, name) AS raw, count(DISTINCT CAST(raw AS VARCHAR)) AS n FROM given GROUP BY ALL),
+plain AS (SELECT *, CASE json_type(raw) WHEN 'OBJECT' THEN json_extract_string(raw, '$.value') WHEN 'ARRAY' THEN CASE WHEN json_array_length(raw) = 1 THEN json_extract_string(raw, '$[0]') END
+  ELSE json_extract_string(raw, '$') END AS v FROM firsts),
+checked AS (SELECT *, (CASE WHEN field = 'card_no' THEN CAST(TRY_CAST(v AS BIGINT) AS VARCHAR) ELSE v END) AS val FROM plain)
+SELECT c.drop_id, c.file_name, TRY_CAST(max(val) FILTER (field = 'card_no') AS BIGINT) AS card_no, max(val) FILTER (field = 'name') AS name, max(val) FILTER (field = 'mp') AS mp,
+  max(val) FILTER (field = 'rarity') AS rarity, max(val) FILTER (field = 'artist') AS artist, max(val) FILTER (field = 'category') AS category, max(val) FILTER (field = 'subclass') AS subclass,
+  coalesce(string_agg(field, ',' ORDER BY nr) FILTER (raw IS NOT NULL AND (val IS NULL OR n > 1)), '') AS failed
+FROM card_drop c LEFT JOIN checked k ON k.drop_id = c.drop_id GROUP BY c.drop_id, c.file_name
+"""
+
+ORACLES = {
+    "p2_found": _P2 + "SELECT line_id, reason FROM r WHERE reason IS NOT NULL",
+    "p2_loaded": _P2
+    + "SELECT line_id, "
+    + ", ".join(f"v[{i}] AS {n}" for i, n in enumerate(strict_load.CARD_LINE.fields, 1))
+    + " FROM r WHERE reason IS NULL",
+    "p6_found": _P6 + """
 SELECT s.file_name, q.change, q.old_field, q.new_field FROM (
   SELECT d.feed, d.seq, d.change, CASE WHEN d.change = 'added' THEN '' ELSE d.path END AS old_field, CASE WHEN d.change = 'removed' THEN '' ELSE d.path END AS new_field
   FROM d WHERE d.change IS NOT NULL AND NOT EXISTS (SELECT 1 FROM x WHERE x.feed = d.feed AND x.seq = d.seq AND ((d.change = 'removed' AND x.old = d.path) OR (d.change = 'added' AND x.new = d.path)))
   UNION ALL SELECT feed, seq, 'renamed', old, new FROM x) q JOIN s USING (feed, seq)
 """,
+    "p6_records": _P6_RECORDS,
 }
 
 

@@ -68,4 +68,36 @@ def test_unified_table(spark):
 
 def test_classes_of_names(spark):
     changes = spark.createDataFrame([("renamed", "a", "b"), ("renamed", "b", "c"), ("renamed", "x", "y"), ("added", "", "q")], "change string, old_field string, new_field string")
-    assert drift.field_classes(changes, changes, ["c", "z"]) == {"a": "c", "b": "c", "c": "c", "z": "z"}
+    assert drift.field_classes(changes, ["c", "z"]) == {"a": "c", "b": "c", "c": "c", "z": "z"}
+
+
+def test_nested_paths(spark):
+    a = [rec(i, meta={"a": i, "t": [{"u": 1}]}) for i in range(4)]
+    b = [rec(i, meta={"b": i, "t": [{"u": "1"}]}) for i in range(4)]
+    df = _drops(spark, [("f", "a", 0, a), ("f", "b", 1, b)])
+    at = lambda depth: sorted(tuple(r)[2:] for r in drift.schema_changes(df, "feed", "file_name", "dropped_at", "payload", "card", depth).collect())
+    assert at(1) == [] and at(2) == [("renamed", "meta.a", "meta.b")]
+    assert at(4) == [("renamed", "meta.a", "meta.b"), ("retyped", "meta.t[].u", "meta.t[].u")]
+
+
+def test_null_feeds_and_files(spark):
+    got = _changes(spark, [(None, "a", 0, [rec(1, x="1")]), (None, None, 1, [rec(1, y="2")])])
+    assert got == [(None, "added", "", "y"), (None, "removed", "x", "")]
+
+
+def test_a_list_of_files_too_long_to_broadcast_changes_nothing(spark, monkeypatch):
+    a = [rec(i, rarity=f"R{i}", old=i) for i in range(6)]
+    b = [rec(i, scarcity=f"R{i}", **{"n'w": None}) for i in range(6)]
+    files = [("f", "a", 0, a), ("f", "b", 1, b), ("g", "c", 0, b), ("g", "d", 2, a)]
+    one = _changes(spark, files)
+    assert ("b", "renamed", "rarity", "scarcity") in one and ("d", "renamed", "scarcity", "rarity") in one and ("b", "added", "", "n'w") in one
+    monkeypatch.setattr(drift, "BROADCAST_FILES", 0)
+    assert _changes(spark, files) == one
+
+
+def test_what_the_consistent_table_cannot_hold_is_reported(spark):
+    rs = [rec(1, rarity=["R", "U", "C"]), rec(2, rarity=[]), rec(3, rarity={"v": 1}), rec(4, rarity="R", **{"it's \"rare\".": "U"}), rec(5, **{"it's \"rare\".": "U"}), rec(6, rarity=None), rec(7, rarity="R", **{"it's \"rare\".": "R"})]
+    names = {"card": "card", "rarity": "rarity", "it's \"rare\".": "rarity"}
+    out = drift.unified(_drops(spark, [("f", "a", 0, rs)]), "payload", names, {"card": "int", "rarity": "string"}, ["file_name"])
+    got = {r["card"]: (r["rarity"], r["failed"]) for r in out.collect()}
+    assert got == {1: (None, ["rarity"]), 2: (None, ["rarity"]), 3: (None, ["rarity"]), 4: ("U", ["rarity"]), 5: ("U", []), 6: (None, []), 7: ("R", [])}
