@@ -2,8 +2,9 @@
 
 The lines keep their offsets (a line's id and a hash of the line). A strict load takes the conforming lines only and
 gives typed rows; their offsets are subtracted from the raw offsets by an anti-join; what remains is diagnosed. All of
-it is built-in, JVM-side expressions. The conforming side of the join carries offsets only, no text, so what is
-shuffled of it is a few bytes a line; lines are unique in their offset, so no key is hot.
+it is built-in, JVM-side expressions. Both sides of the anti-join carry offsets only, no text, so what is shuffled is a
+few bytes a line; lines are unique in their offset, so no key is hot. The rejected offsets, if they are few, are sent
+back to the lines; many are joined.
 
 The regular expressions are possessive: they run in linear time and constant stack on very long lines.
 """
@@ -20,6 +21,10 @@ QUOTED = r'"(?:[^"]++|"")*+"'
 FIELD = rf"(?:{QUOTED}|[^,\"]*+)"
 
 
+#: Up to this many rejected offsets are broadcast.
+BROADCAST_REJECTS = 1_000_000
+
+
 @dataclass(frozen=True)
 class LineFormat:
     """Field names in order, and the checks of fields in the order in which they are reported: name -> regular
@@ -75,9 +80,12 @@ def rejects(df: DataFrame, id_col: str, raw_col: str, fmt: LineFormat = CARD_LIN
     table gives an empty result.
     """
     loaded = strict_load(df, id_col, raw_col, fmt).select("offset_id", "offset_hash")
-    raw_lines = df.select(*_offset(df, id_col, raw_col), F.col(raw_col).cast("string").alias("raw"))
-    same = raw_lines["offset_id"].eqNullSafe(loaded["offset_id"]) & (raw_lines["offset_hash"] == loaded["offset_hash"])
-    rest = raw_lines.join(loaded, same, "left_anti")
+    offsets = df.select(*_offset(df, id_col, raw_col))
+    same = offsets["offset_id"].eqNullSafe(loaded["offset_id"]) & (offsets["offset_hash"] == loaded["offset_hash"])
+    left = offsets.join(loaded, same, "left_anti").select(F.col("offset_id").alias("id"), F.col("offset_hash").alias("hash")).distinct().persist()
+    few = left.limit(BROADCAST_REJECTS + 1).count() <= BROADCAST_REJECTS
+    lines = df.select(*_offset(df, id_col, raw_col), F.col(raw_col).cast("string").alias("raw"))
+    rest = lines.join(F.broadcast(left) if few else left, F.col("offset_id").eqNullSafe(F.col("id")) & (F.col("offset_hash") == F.col("hash")), "left_semi")
     raw, cells = F.col("raw"), F.col("cells")
     reason = F.when(raw.isNull(), "columns").when(~_well_quoted(raw), "quoting").when(F.size(cells) != len(fmt.fields), "columns")
     for name, ok in _checked(cells, fmt):

@@ -94,3 +94,13 @@ def test_empty_table_and_other_format(spark):
     fmt = LineFormat(("a", "b"), (("b", r"\A[0-9]+\z"),))
     df = spark.createDataFrame([(1, "x,12"), (2, "x,y")], "line_id long, raw string")
     assert [r["offset_id"] for r in strict_load(df, "line_id", "raw", fmt).collect()] == [1]
+
+
+def test_many_rejects_are_joined(spark, monkeypatch):
+    from tessera.operators import strict_load
+
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (1, "a"), (2, None), (3, "1,s,n,t,,,,,x")], "rid long, raw string")
+    one = sorted(map(repr, rejects(df, "rid", "raw").collect()))
+    assert len(one) == 4
+    monkeypatch.setattr(strict_load, "BROADCAST_REJECTS", 0)
+    assert sorted(map(repr, rejects(df, "rid", "raw").collect())) == one
