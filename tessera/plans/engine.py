@@ -37,11 +37,14 @@ class Segment:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The same rows, read from a checkpoint in the folder that the cluster names; a folder of our own only where none
-    is set, as in tests."""
+    is set and all tasks run on this machine, as in tests."""
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise QueryError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-"))
     return df.checkpoint()
 
 
@@ -203,6 +206,8 @@ class Engine:
 
     def _joined(self, e: A.Exists | A.ArrayOf, f: Frame) -> tuple[Frame, Val]:
         """A subquery in general: it runs over all rows at once, and its results are joined back by the row."""
+        if isinstance(e, A.ArrayOf) and (got := self._keyed(e, f)) is not None:
+            return got
         outer, ids = self._identified(f)
         # the row's identity goes along as variables that no clause drops
         sub = replace(outer, env={**outer.env, **{f"$id{i}": Val(F.col(c), outer.df.schema[c].dataType) for i, c in enumerate(ids)}})
@@ -227,11 +232,48 @@ class Engine:
         got = plain.groupBy(*hs).agg(F.collect_list(F.struct(position, F.col("__x").alias("x"))).alias(x))
         got = got.select(*hs, F.array_sort(F.col(x), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)).alias(x))
         df = outer.df.join(got, _same_row(ids), "left").drop(*[i + "h" for i in ids])
-        if v.dynamic or isinstance(v.type, T.NullType):
-            out = Val(F.coalesce(F.to_variant_object(F.transform(F.col(x), lambda s: F.parse_json(s["x"]))), F.parse_json(F.lit("[]"))), VARIANT)
+        return replace(outer, df=df), self._listed(x, v)
+
+    def _keyed(self, e: A.ArrayOf, f: Frame) -> tuple[Frame, Val] | None:
+        """An array of one MATCH or LOAD that meets the row in plain keys only: it is collected by the keys, and the rows
+        are joined with the lists. None where that isn't so."""
+        first, *rest = e.query.reads
+        if f.unit or not isinstance(first, A.Match | A.Load) or not all(isinstance(c, A.Where | A.OrderBy) for c in rest):
+            return None
+        parts = [c.condition if isinstance(c, A.Where) else c.key for c in rest] + ([e.query.write.value] if e.query.write is not None else [])
+        if any(A.has(x, (A.Exists, A.ArrayOf, A.Aggregate)) for x in parts):
+            return None
+        inner = self.matches(first.pattern) if isinstance(first, A.Match) else self.load(first.format, first.path, first.pattern, self.start())
+        keys = [n for n in inner.env if n in f.env]
+        used = {n for x in parts for n in A.variables(x)}
+        atomic = (T.StringType, T.IntegralType, T.BooleanType, T.DateType)
+        if not keys or not used <= set(inner.env) or not all(isinstance(inner.env[n].type, atomic) and V.same_type(inner.env[n].type, f.env[n].type) for n in keys):
+            return None
+        for clause in rest:
+            inner = self.read(clause, inner, within=True)
+        if e.query.write is not None:
+            inner, v = self.value(inner, e.query.write.value)
         else:
-            out = Val(F.coalesce(F.transform(F.col(x), lambda s: s["x"]), F.array().cast(T.ArrayType(v.type))), T.ArrayType(v.type))
-        return replace(outer, df=df), out
+            v = V.struct({k: inner.env[k] for k in sorted(inner.env) if k not in f.env})
+        outer = f.flat()
+        text = V.text_key(v) if v.dynamic or isinstance(v.type, T.NullType) else v.col
+        names = {n: fresh("k") for n in keys}
+        position = F.struct(*[F.col(o) for o in inner.order]) if inner.order else F.lit(0)
+        x = fresh("a")
+        got = inner.df.select(*[inner.env[n].col.alias(k) for n, k in names.items()], position.alias("o"), text.alias("x"))
+        got = got.groupBy(*names.values()).agg(F.collect_list(F.struct("o", "x")).alias(x))
+        got = got.select(*names.values(), F.array_sort(F.col(x), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)).alias(x))
+        on = F.lit(True)
+        for n, k in names.items():
+            on = on & outer.env[n].col.eqNullSafe(F.col(k))
+        df = outer.df.join(got, on, "left").drop(*names.values())
+        return replace(outer, df=df), self._listed(x, v)
+
+    def _listed(self, x: str, v: Val) -> Val:
+        """The values of a column of (place, value) lists; none as the empty list."""
+        if v.dynamic or isinstance(v.type, T.NullType):
+            return Val(F.coalesce(F.to_variant_object(F.transform(F.col(x), lambda s: F.parse_json(s["x"]))), F.parse_json(F.lit("[]"))), VARIANT)
+        return Val(F.coalesce(F.transform(F.col(x), lambda s: s["x"]), F.array().cast(T.ArrayType(v.type))), T.ArrayType(v.type))
 
     def _identified(self, f: Frame) -> tuple[Frame, list[str]]:
         """A frame whose order identifies its rows."""
@@ -609,7 +651,7 @@ class Engine:
         p = g.env["$p"].col
         last = g.df.groupBy(p.alias("__p")).agg(F.max(run).alias("__run"))
         kept = g.df.join(last, p.eqNullSafe(F.col("__p")) & (F.col(run) == F.col("__run")))
-        io.write_routed(kept, p, g.env["$l"].col, list(g.order))
+        io.write_routed(kept, p, g.env["$l"].col, list(g.order), io.absolute("", self.base), self.single_files)
 
 
 A_SAVED = ("JSONL", "TEXT", "PARQUET", "ORC", "CSV")
@@ -733,9 +775,19 @@ def _stacked(frames: list[Frame]) -> Frame:
     types = {n: V.common_type([f.env[n].type for f in frames if n in f.env]) for n in names}
     width = max(len(f.order) for f in frames)
     vs, os_ = {n: fresh("v") for n in names}, [fresh("o") for _ in range(width)]
+    kinds = [{f.df.schema[f.order[i]].dataType.simpleString() for f in frames if len(f.order) > i} for i in range(width)]
+
+    def placed(f: Frame, i: int) -> Column:
+        kind = "string" if len(kinds[i]) > 1 else next(iter(kinds[i]))
+        if len(f.order) <= i:
+            return F.lit(None).cast(kind)
+        c = F.col(f.order[i])
+        # places are compared within one frame only; numbers become texts of the same order
+        return F.lpad(c.cast("string"), 20, "0") if kind == "string" and not isinstance(f.df.schema[f.order[i]].dataType, T.StringType) else c.cast(kind)
+
     out = None
     for f in frames:
-        order = [F.col(c).cast("long") if c else F.lit(None).cast("long") for c in [*f.order, *[None] * (width - len(f.order))]]
+        order = [placed(f, i) for i in range(width)]
         env = [V.coerce(f.env[n], types[n]) if n in f.env else F.lit(None).cast(types[n]) for n in names]
         part = f.df.select(*[c.alias(n) for c, n in zip(order, os_)], *[c.alias(vs[n]) for c, n in zip(env, names)])
         out = part if out is None else out.unionByName(part)

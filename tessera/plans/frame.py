@@ -21,10 +21,9 @@ from tessera.plans import ast as A
 
 _numbers = itertools.count()
 
-#: Rows of a source that form one bucket when adjacent rows are compared; buckets are compared through their ends.
-BUCKET = 65_536
-#: Ranges into which rows ordered by a text are cut, and the values of which the cuts are taken.
-RANGES, SAMPLED = 128, 4_096
+#: Adjacent rows are compared within buckets of about so many rows, at most so many buckets; the cuts between them are
+#: taken of so many values. Buckets are compared through their ends, in a table of at most RANGES rows.
+BUCKET, RANGES, SAMPLED = 8_192, 16_384, 65_536
 
 
 def fresh(prefix: str = "c") -> str:
@@ -253,50 +252,50 @@ def join_condition(a: Val, b: Val) -> Column:
     return V.compatible(a, b)
 
 
-def _range_of(df: DataFrame, column: str) -> Column:
-    """The number of the range in which a text of the order falls. The cuts come from a bounded sample of the values,
-    one for each of SAMPLED hashes: they only balance the buckets, any cuts give the same runs."""
-    h = F.xxhash64(column)
-    sample = df.groupBy(F.pmod(h, F.lit(SAMPLED))).agg(F.min_by(column, h).alias("x")).collect()
-    values = sorted({r["x"] for r in sample if r["x"] is not None})
-    cuts = values[:: max(1, len(values) // RANGES)][1:]
-    if not cuts:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(column)))
+def _bucketed(df: DataFrame, order: list[str], bucket: str) -> DataFrame:
+    """df with the number of the range in which a row's place in the order falls. The cuts come from a bounded sample,
+    one place for each of SAMPLED hashes: they only balance the buckets, any cuts give the same runs."""
+    if not order:
+        return df.withColumn(bucket, F.lit(0))
+    place, h = F.struct(*order), F.xxhash64(*order)
+    sample = df.groupBy(F.pmod(h, F.lit(SAMPLED))).agg(F.count("*").alias("n"), F.min_by(place, h).alias("x")).collect()
+    wanted = min(RANGES, sum(r["n"] for r in sample) // BUCKET)
+    places = sorted({tuple(r["x"]) for r in sample}, key=lambda x: [(v is not None, v) for v in x])
+    cuts = places[:: max(1, len(places) // max(1, wanted))][1:]
+    if wanted < 2 or not cuts:
+        return df.withColumn(bucket, F.lit(0))
+    types = [df.schema[o].dataType for o in order]
+    literal = lambda x: F.struct(*[F.lit(v).cast(t).alias(o) for v, t, o in zip(x, types, order)])
+    # two levels, so that a row is compared with about twice the root of the number of cuts
+    width = max(1, int(len(cuts) ** 0.5))
+    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    upto = lambda array: F.size(F.filter(array, lambda c: c <= place))
+    at = fresh("g")
+    df = df.withColumn(at, upto(F.array(*[literal(g[0]) for g in groups])))
+    within = upto(F.get(F.array(*[F.array(*map(literal, g)) for g in groups]), F.col(at) - 1))
+    return df.withColumn(bucket, F.when(F.col(at) == 0, 0).otherwise((F.col(at) - 1) * width + within)).drop(at)
 
 
 def run_ids(frame: Frame, keys: list[str]) -> tuple[Frame, str]:
-    """Numbers the runs of adjacent rows with equal keys. Rows are compared within buckets of the source order in
-    parallel; the few rows at the ends of buckets are compared in a table of buckets."""
+    """Numbers the runs of adjacent rows with equal keys. Rows are compared within buckets of the order in parallel; the
+    few rows at the ends of buckets are compared in a table of buckets."""
     f = frame.flat()
     text = F.concat_ws("\u0001", *[V.text_key(f.env[k]) for k in keys]) if keys else F.lit("")
-    key = fresh("k")
-    df = f.df.withColumn(key, text)
+    key, b = fresh("k"), fresh("b")
     order = list(f.order)
-    numeric = [o for o in order[:2] if isinstance(df.schema[o].dataType, T.LongType)]
-    if len(order) < 2 or len(numeric) < 2:
-        bucket = [F.floor(F.col(order[0]) / BUCKET)] if order and isinstance(df.schema[order[0]].dataType, T.LongType) else [_range_of(df, order[0])] if order else [F.lit(0)]
-    else:
-        bucket = [F.col(order[0]), F.floor(F.col(order[1]) / BUCKET)]
-    bs = [fresh("b") for _ in bucket]
-    for n, c in zip(bs, bucket):
-        df = df.withColumn(n, c)
-    within = Window.partitionBy(*bs).orderBy(*order)
+    df = _bucketed(f.df.withColumn(key, text), order, b)
+    within = Window.partitionBy(b).orderBy(*order) if order else Window.partitionBy(b).orderBy(F.lit(0))
     prev, new, local = fresh("p"), fresh("n"), fresh("l")
     df = df.withColumn(prev, F.lag(key).over(within)).withColumn(new, F.when(F.col(prev).isNull() | (F.col(prev) != F.col(key)), 1).otherwise(0))
     df = df.withColumn(local, F.sum(new).over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = df.groupBy(*bs).agg(F.min(F.struct(*order, key)).alias("first"), F.max(F.struct(*order, key)).alias("last"), F.max(local).alias("runs"))
-    chain = Window.orderBy(*bs)
+    ends = df.groupBy(b).agg(F.min(F.struct(*order, key)).alias("first"), F.max(F.struct(*order, key)).alias("last"), F.max(local).alias("runs"))
+    chain = Window.orderBy(b)  # a row a bucket: at most RANGES
     joins = F.lag("last").over(chain).getField(key) == F.col("first").getField(key)
     # a bucket whose first run continues the last of the bucket before has one new run less
     ends = ends.withColumn("less", F.coalesce(joins.cast("int"), F.lit(0))).withColumn("upto", F.sum(F.col("runs") - F.col("less")).over(chain.rowsBetween(Window.unboundedPreceding, 0)))
-    base = ends.select(*[F.col(b).alias(b + "e") for b in bs], (F.col("upto") - F.col("runs")).alias("base"))
-    condition = None
-    for b in bs:
-        c = F.col(b).eqNullSafe(F.col(b + "e"))
-        condition = c if condition is None else condition & c
+    base = ends.select(F.col(b).alias(b + "e"), (F.col("upto") - F.col("runs")).alias("base"))
     run = fresh("r")
-    out = df.join(base, condition).withColumn(run, F.col("base") + F.col(local))
+    out = df.join(F.broadcast(base), F.col(b) == F.col(b + "e")).withColumn(run, F.col("base") + F.col(local))
     return replace(f, df=out), run
 
 

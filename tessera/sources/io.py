@@ -10,6 +10,8 @@ from __future__ import annotations
 import glob as globbing
 import os
 import re
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,68 +61,107 @@ def _read(spark: SparkSession, fmt: str, paths: list[str], ordered: bool, with_p
     p, d = fresh("p"), fresh("d")
     if fmt in ("JSON", "JSONL", "TEXT"):
         raw = spark.read.text(paths, wholetext=fmt == "JSON")
-        # the position of a line: text files are read in the order of files and offsets
-        o = fresh("o")
         doc = F.col("value") if fmt == "TEXT" else F.parse_json("value")
         df = raw if fmt != "JSONL" else raw.where(r"value rlike '\\S'")
-        position = [F.monotonically_increasing_id().alias(o)] if ordered else []
-        df = df.select(*position, file.alias(p), doc.alias(d))
-        return Frame(df, {"$doc": Val(F.col(d), T.StringType() if fmt == "TEXT" else VARIANT), "$path": Val(F.col(p), T.StringType())}, (o,) if ordered else ())
+        position = _position() if ordered else {}
+        df = df.select(*[c.alias(n) for n, c in position.items()], file.alias(p), doc.alias(d))
+        return Frame(df, {"$doc": Val(F.col(d), T.StringType() if fmt == "TEXT" else VARIANT), "$path": Val(F.col(p), T.StringType())}, tuple(position))
     raw = spark.read.csv(paths, header=True) if fmt == "CSV" else spark.read.format(fmt.lower()).load(paths)
     order: dict[str, Column] = {}
     if ordered and fmt == "PARQUET":
-        order = {fresh("o"): F.xxhash64("_metadata.file_path"), fresh("o"): F.col("_metadata.row_index")}
+        order = {fresh("o"): plain_path(F.col("_metadata.file_path")), fresh("o"): F.col("_metadata.row_index")}
     elif ordered:
-        order = {fresh("o"): F.monotonically_increasing_id()}
+        order = _position()
     extra = [c.alias(n) for n, c in order.items()] + ([file.alias(p)] if with_path else [])
     df = raw.select("*", *extra) if extra else raw
     whole = Val(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), raw.schema)
     return Frame(df, {"$doc": whole, "$path": Val(F.col(p), T.StringType()) if with_path else Val(F.lit(""), T.StringType())}, tuple(order))
 
 
+def _position() -> dict[str, Column]:
+    """Where a line stands: by path, then by the split's offset in the file, then within the split. Splits are packed
+    into tasks by size, so the number of the task tells nothing."""
+    return {fresh("o"): plain_path(F.col("_metadata.file_path")), fresh("o"): F.col("_metadata.file_block_start"), fresh("o"): F.monotonically_increasing_id()}
+
+
 def template_glob(literals: tuple[str, ...]) -> str:
     return "*".join(re.sub(r"([*?\[\]])", r"[\1]", x) for x in literals)
 
 
+class Files:
+    """The file system of a path, as the cluster has it: nothing is written to the disk of one machine but where the
+    path itself is local."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, self.conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs = self.path(path).getFileSystem(self.conf)
+        self.fs.setWriteChecksum(False)
+
+    def path(self, path: str):  # noqa: ANN201
+        return self.jvm.org.apache.hadoop.fs.Path(path)
+
+    def names(self, directory: str, prefix: str) -> list[str]:
+        return sorted(n for x in self.fs.listStatus(self.path(directory)) if (n := x.getPath().getName()).startswith(prefix))
+
+    def put(self, parts: list[str], target: str) -> None:
+        """The parts in order as one file; a single part is only renamed, more are copied by the driver's JVM in blocks."""
+        to = self.path(target)
+        self.fs.mkdirs(to.getParent())
+        if len(parts) == 1:
+            self.fs.delete(to, True)
+            self.fs.rename(self.path(parts[0]), to)
+            return
+        tmp = self.path(f"{target}.{uuid.uuid4().hex}.tmp")
+        out = self.fs.create(tmp)
+        for part in parts:
+            source = self.fs.open(self.path(part))
+            self.jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, self.conf, False)
+            source.close()
+        out.close()
+        self.fs.delete(to, True)
+        self.fs.rename(tmp, to)
+
+    def move(self, source: str, target: str) -> None:
+        to = self.path(target)
+        self.fs.mkdirs(to.getParent())
+        self.fs.delete(to, True)
+        self.fs.rename(self.path(source), to)
+
+    def drop(self, path: str) -> None:
+        self.fs.delete(self.path(path), True)
+
+
 def write_lines(df: DataFrame, line: Column, order: list[str], path: str, single: bool) -> None:
-    """The lines in order: a directory of parts whose names sort in order, or one file."""
+    """The lines in order: a directory of parts whose names sort in order, or one file of them."""
     out = df.select(line.alias("value"), *order)
     out = (out.repartitionByRange(*order).sortWithinPartitions(*order) if order else out).select("value")
     if not single:
         out.write.mode("overwrite").text(path)
         return
-    target = path.removeprefix("file://")
-    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
-    rows = df.select(line.alias("value"), *order).sort(*order).select("value") if order else out
-    tmp = f"{target}.{os.getpid()}.tmp"
-    with open(tmp, "w", encoding="utf-8") as f:
-        for r in rows.toLocalIterator():  # partition by partition, never the whole
-            f.write(r["value"] + "\n")
-    os.replace(tmp, target)
-
-
-def write_routed(df: DataFrame, path: Column, line: Column, order: list[str]) -> None:
-    """Each line into the file that its path names; the rows of a path are written in order by one task, streaming."""
-
-    def write(rows) -> None:  # noqa: ANN001
-        now, f = None, None
-        for r in rows:
-            if r["p"] != now:
-                _close(f, now)
-                now = r["p"]
-                os.makedirs(os.path.dirname(now) or ".", exist_ok=True)
-                f = open(f"{now}.{os.getpid()}.tmp", "w", encoding="utf-8")  # noqa: SIM115
-            f.write(r["value"] + "\n")
-        _close(f, now)
-
-    out = df.select(path.alias("p"), line.alias("value"), *order).repartition("p").sortWithinPartitions("p", *order)
-    out.foreachPartition(write)
-
-
-def _close(f, path: str | None) -> None:  # noqa: ANN001
-    if f is not None:
-        f.close()
-        os.replace(f"{path}.{os.getpid()}.tmp", path)
+    files, tmp = Files(df.sparkSession, path), f"{path}.{uuid.uuid4().hex}.parts"
+    try:
+        out.write.text(tmp)
+        files.put([f"{tmp}/{n}" for n in files.names(tmp, "part-")], path)
+    finally:
+        files.drop(tmp)
+
+
+def write_routed(df: DataFrame, path: Column, line: Column, order: list[str], base: str, single: bool) -> None:
+    """Each line into the file that its path names, or into a directory of parts under that name. Spark's writer makes
+    the parts of each path under base, in shared storage; a path of many lines is written by several tasks."""
+    files, tmp = Files(df.sparkSession, base), f"{base.rstrip('/')}/.{uuid.uuid4().hex}.parts"
+    out = df.select(path.alias("p"), line.alias("value"), *order)
+    out = out.repartitionByRange("p", *order).sortWithinPartitions("p", *order).select("p", "value")
+    try:
+        out.write.partitionBy("p").text(tmp)
+        for directory in files.names(tmp, "p="):
+            parts, target = f"{tmp}/{directory}", unquote(directory.removeprefix("p="))
+            if single:
+                files.put([f"{parts}/{n}" for n in files.names(parts, "part-")], target)
+            else:
+                files.move(parts, target)
+    finally:
+        files.drop(tmp)
 
 
 # -- the same outside of the query language
