@@ -2,23 +2,27 @@
 
 Method: Efraimidis-Spirakis sampling. Each document gets an exponential key scaled by its quality weight; within a
 source the documents are taken in the order of the keys up to the source's token budget. Complete epochs come before a
-fractional selection, and no document is used more often than its source allows.
-
-The order within a source is never made in one task, as one source may hold a third of all documents: keys fall into
-buckets, bucket sums are aggregated (a small table of sources times buckets) and prefix-summed, whole buckets are taken
-or left, and only the bucket per source in which the budget ends is sorted, with the few after it: there, documents that
-would exceed the budget are passed over, so that a very long one doesn't leave a source short.
+fractional selection, and no document is used more often than its source allows. A document that exceeds what is left of
+the budget is passed over, so that a very long one doesn't leave a source short.
+
+The order within a source is never made in one task, as one source may hold a third of all documents. The keys of what
+is left fall into FINE buckets, whose sums are aggregated and prefix-summed; the buckets before the one in which the
+budget is exceeded are taken whole, that one is divided again if it holds more than BUCKET_DOCS documents and else
+sorted, and the same goes on behind it with what is then left, until nothing that fits is left. What the driver holds is
+a row for each source and round.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents that a bucket holds about.
-BUCKET_DOCS = 5_000
-#: Listed sources at most; the list is broadcast.
+#: Most documents of a source that are sorted in one task, and the buckets into which a range of keys is cut. Neither
+#: changes which documents are taken.
+BUCKET_DOCS, FINE = 5_000, 4_096
+#: Listed sources at most; the list is broadcast. Beyond it an error is raised.
 MAX_SOURCES = 100_000
 
 
@@ -70,49 +74,91 @@ def mixed(docs: DataFrame, targets: DataFrame, total: float | None = None, seed:
     """(doc_id, source, n_tokens, copies) of every document that is used at least once.
 
     docs: doc_id, source, n_tokens, weight. Documents of no or an unlisted source and documents without tokens aren't
-    used. Null or non-positive weights count as the least one. Equal keys are ordered by doc_id. The same input and
-    seed give the same mix, whatever the partitions. Empty tables give an empty mix.
+    used. weight is a column given with the documents (quality() gives one if none is at hand); null or non-positive
+    weights count as the least one. Equal keys are ordered by doc_id. The same input and seed give the same mix, whatever
+    the partitions. Empty tables give an empty mix.
     """
     if targets.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} target sources")
+    spark = docs.sparkSession
     names = F.broadcast(targets.select("source").where("source is not null").distinct())
     used = docs.select("doc_id", "source", "n_tokens", "weight").where("n_tokens > 0").join(names, "source", "left_semi")
-    sizes = used.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("n_docs"))
-    plans = plan(sizes, targets, total).where("available > 0 and max_repeat > 0").persist()
-    n_docs = plans.agg(F.sum("n_docs")).first()[0] or 0
     u = (F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(1e-3)
-    # the logarithm of an exponential key is spread over a few units whatever the weights: no bucket holds much more than
-    # a third of its unit's share
-    per_unit = float(max(4, min(4_000, n_docs // BUCKET_DOCS)))
-    keyed = used.withColumn("key", -F.log(u) / weight).withColumn("bucket", F.floor(F.log("key") * per_unit))
-    sums = keyed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n"))
-    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("upto", F.sum("tokens").over(upto)).withColumn("seen", F.sum("n").over(upto) - F.col("n")).join(F.broadcast(plans.select("source", "rest")), "source").where("upto > rest")
-    # from the bucket in which the budget is exceeded on, as many as hold about BUCKET_DOCS documents
-    first = Window.partitionBy("source")
-    sums = sums.withColumn("from", F.min("seen").over(first)).where(F.col("seen") < F.col("from") + BUCKET_DOCS)
-    ends = sums.groupBy("source").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("tokens")).alias("before"))).alias("e"), F.max("bucket").alias("stop"))
-    steps = plans.join(ends, "source", "left").select("source", "epochs", "rest", F.col("e.bucket").alias("end"), "stop", F.coalesce("e.before", F.lit(0)).alias("before"))
-    at = keyed.join(F.broadcast(steps), "source")
-    taken = at.where("end is null or bucket < end or bucket > stop").withColumn("copies", F.col("epochs") + F.when(F.col("end").isNull() | (F.col("bucket") < F.col("end")), 1).otherwise(0))
-    cols = ["doc_id", "source", "n_tokens", F.col("copies").cast("int").alias("copies")]
-    edge = at.where("bucket between end and stop").select("doc_id", "source", "n_tokens", "key", "epochs", F.col("rest").cast("long").alias("rest"), F.col("before").cast("long").alias("before"))
+    # the logarithm of an exponential key is spread over a few units whatever the weights
+    keyed = used.withColumn("key", F.log(-F.log(u) / weight))
+    sizes = keyed.groupBy("source").agg(F.sum("n_tokens").alias("available"), F.count("*").alias("n_docs"), F.min("key").alias("low"), F.max("key").alias("top")).persist()
+    plans = plan(sizes, targets, total).where("available > 0 and max_repeat > 0").select("source", "epochs", "rest").join(F.broadcast(sizes), "source").collect()  # a row a source
+    left = {r["source"]: int(r["rest"]) for r in plans}
+    top = {r["source"]: r["top"] for r in plans}
+    # by source: the keys that are looked at, from (exclusively) and up to
+    look = {r["source"]: (float(np.nextafter(r["low"], -np.inf)), r["top"]) for r in plans if r["rest"] > 0}
+    taken: dict[str, list[tuple[float, float, int]]] = {}  # keys from, up to: what has no more tokens is taken
+    sorted_: dict[str, list[tuple[float, float]]] = {}  # keys from, up to: decided document by document
     kind = used.schema["doc_id"].dataType.simpleString()
-    filled = edge.groupBy("source").applyInPandas(_fill, f"doc_id {kind}, source string, n_tokens long, copies int")
-    return taken.select(cols).unionByName(filled).where("copies > 0")
-
-
-def _fill(bucket: pd.DataFrame) -> pd.DataFrame:
-    """The last documents of a source, in the order of their keys: what still fits the budget is used once more."""
-    bucket = bucket.sort_values(["key", "doc_id"], kind="stable")
-    left = int(bucket["rest"].iloc[0] - bucket["before"].iloc[0])
+    edges = None
+    while look:
+        state = spark.createDataFrame([(s, lo, hi, left[s]) for s, (lo, hi) in look.items()], "source string, lo double, hi double, left long")
+        rest = keyed.join(F.broadcast(state), "source").where("key > lo and key <= hi")
+        bucket = F.least(F.lit(FINE - 1), F.floor((F.col("key") - F.col("lo")) / (F.col("hi") - F.col("lo")) * FINE))
+        sums = rest.groupBy("source", bucket.alias("bucket")).agg(F.sum(F.when(F.col("n_tokens") <= F.col("left"), F.col("n_tokens")).otherwise(0)).alias("tokens"), F.count("*").alias("n"), F.min("key").alias("first"), F.max("key").alias("last"), F.first("left").alias("left"))
+        upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = sums.withColumn("upto", F.sum("tokens").over(upto)).withColumn("seen", F.sum("n").over(upto))
+        exceeds = F.col("upto") > F.col("left")
+        edge = F.min(F.when(exceeds, F.struct("bucket", "first", "last", "n", (F.col("upto") - F.col("tokens")).alias("before"), (F.col("seen") - F.col("n")).alias("ahead"))))
+        at = sums.withColumn("edge", edge.over(Window.partitionBy("source")))
+        # the bucket in which the budget is exceeded, with as many after it as can be sorted along with it
+        along = F.max(F.when((F.col("bucket") >= F.col("edge.bucket")) & (F.col("seen") - F.col("edge.ahead") <= BUCKET_DOCS), F.col("last")))
+        rows = at.groupBy("source").agg(F.first("edge").alias("edge"), along.alias("along"), F.sum("tokens").alias("tokens")).collect()
+        fill: dict[str, tuple[float, float]] = {}
+        following: dict[str, tuple[float, float]] = {}
+        for r in rows:
+            s, (lo, hi), e = r["source"], look[r["source"]], r["edge"]
+            if e is None:  # all that fits fits together
+                taken.setdefault(s, []).append((lo, hi, left[s]))
+                left[s] -= int(r["tokens"])
+                following[s] = (hi, top[s])
+                continue
+            start = float(np.nextafter(e["first"], -np.inf))
+            taken.setdefault(s, []).append((lo, start, left[s]))
+            left[s] -= int(e["before"])
+            if e["n"] > BUCKET_DOCS and e["last"] > e["first"]:
+                following[s] = (start, e["last"])
+            else:
+                fill[s] = (start, max(e["last"], r["along"] or e["last"]))
+        if fill:
+            state = spark.createDataFrame([(s, lo, hi, left[s]) for s, (lo, hi) in fill.items()], "source string, lo double, hi double, left long")
+            part = keyed.join(F.broadcast(state), "source").where("key > lo and key <= hi")
+            part = part.groupBy("source").applyInPandas(_fill, f"doc_id {kind}, source string, n_tokens long, more int").persist()
+            used_up = {r["source"]: int(r["t"]) for r in part.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("more")).alias("t")).collect()}
+            edges = part if edges is None else edges.unionByName(part)
+            for s, (lo, hi) in fill.items():
+                left[s] -= used_up.get(s, 0)
+                sorted_.setdefault(s, []).append((lo, hi))
+                following[s] = (hi, top[s])
+        look = {s: (lo, hi) for s, (lo, hi) in following.items() if left[s] > 0 and lo < hi}
+    ranges = "array<struct<lo:double,hi:double,most:long>>"
+    steps = spark.createDataFrame([(r["source"], int(r["epochs"]), taken.get(r["source"], []), [(lo, hi, 0) for lo, hi in sorted_.get(r["source"], [])]) for r in plans], f"source string, epochs long, taken {ranges}, sorted {ranges}")
+    at = keyed.join(F.broadcast(steps), "source")
+    within = lambda x: (F.col("key") > x["lo"]) & (F.col("key") <= x["hi"])
+    cols = ["doc_id", "source", F.col("n_tokens").cast("long").alias("n_tokens")]
+    whole = at.where(~F.exists("sorted", within)).select(*cols, (F.col("epochs") + F.exists("taken", lambda x: within(x) & (F.col("n_tokens") <= x["most"])).cast("int")).cast("int").alias("copies"))
+    if edges is not None:
+        single = edges.join(F.broadcast(steps.select("source", "epochs")), "source").select(*cols, (F.col("epochs") + F.col("more")).cast("int").alias("copies"))
+        whole = whole.unionByName(single)
+    return whole.where("copies > 0")
+
+
+def _fill(part: pd.DataFrame) -> pd.DataFrame:
+    """Documents in the order of their keys: what still fits the budget is used once more."""
+    part = part.sort_values(["key", "doc_id"], kind="stable")
+    left = int(part["left"].iloc[0])
     more = []
-    for n in bucket["n_tokens"]:
+    for n in part["n_tokens"]:
         more.append(int(n <= left))
         left -= n if n <= left else 0
-    out = bucket[["doc_id", "source", "n_tokens"]].copy()
-    out["copies"] = (bucket["epochs"] + more).astype("int32")
+    out = part[["doc_id", "source", "n_tokens"]].copy()
+    out["more"] = np.array(more, dtype="int32")
     return out
 
 

@@ -66,26 +66,25 @@ def test_a_scarce_source_does_not_size_the_mix(spark, monkeypatch):
     assert mixing.corpus_total(docs.limit(0), targets) == mixing.corpus_total(docs, targets.limit(0)) == 0
 
 
-def test_same_as_one_sorted_list(spark, monkeypatch):
-    """The buckets give what a sort of all keys of a source gives."""
-    docs = _docs(spark, {"a": [3 + i % 11 for i in range(400)], "b": [50] * 100})
+@pytest.mark.parametrize(("most", "fine"), [(1, 2), (10, 7), (5_000, 4_096)])
+def test_same_as_one_sorted_list(spark, monkeypatch, most, fine):
+    """However small the buckets and the sorted parts are: what a greedy walk over all keys of a source gives."""
+    docs = _docs(spark, {"a": [3 + i % 11 if i % 9 else 100 * (i % 5 + 1) for i in range(150)], "b": [50] * 100})
     docs = docs.withColumn("weight", F.lit(0.2) + (F.col("doc_id") % 7) / 5)
     targets = _targets(spark, [("a", 0.3, 2), ("b", 0.7, 1)])
-    monkeypatch.setattr(mixing, "BUCKET_DOCS", 10)
-    got = {r["doc_id"]: r["copies"] for r in mixing.mixed(docs, targets).where("source = 'a'").collect()}
+    monkeypatch.setattr(mixing, "BUCKET_DOCS", most)
+    monkeypatch.setattr(mixing, "FINE", fine)
+    got = {(r["source"], r["doc_id"]): r["copies"] for r in mixing.mixed(docs, targets, 4_999).collect()}
     u = (F.pmod(F.xxhash64(F.lit(7), F.col("doc_id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    keyed = [(r["k"], r["doc_id"], r["n_tokens"]) for r in docs.where("source = 'a'").select((-F.log(u) / F.col("weight")).alias("k"), "doc_id", "n_tokens").collect()]
-    available = sum(n for *_, n in keyed)
-    budget = math.floor(min(5000 / 0.7 * 0.3, available * 2) + 1e-6)
-    epochs, rest = divmod(budget, available)
-    seen, order = 0, sorted(keyed)
-    crossing = next(i for i, (_, _, n) in enumerate(order) if (seen := seen + n) > rest)
-    # all before the crossing one are taken; after it only what fits, in one bucket
-    assert all(got.get(d, 0) == epochs + 1 for _, d, _ in order[:crossing])
-    extra = [d for _, d, _ in order[crossing:] if got.get(d, 0) == epochs + 1]
-    used = sum(n for _, d, n in order if got.get(d, 0) == epochs + 1)
-    assert rest - 3 < used <= rest and len(extra) <= 10
-    assert all(got.get(d, 0) in (epochs, epochs + 1) for _, d, _ in order)
+    want = {}
+    for source, share in (("a", 0.3), ("b", 0.7)):
+        keyed = sorted((r["k"], r["doc_id"], r["n_tokens"]) for r in docs.where(F.col("source") == source).select((-F.log(u) / F.col("weight")).alias("k"), "doc_id", "n_tokens").collect())
+        available = sum(n for *_, n in keyed)
+        epochs, left = divmod(math.floor(share * 4_999 + 1e-6), available)
+        for _, d, n in keyed:
+            want[source, d] = epochs + (n <= left)
+            left -= n if n <= left else 0
+    assert got == {k: c for k, c in want.items() if c}
 
 
 def test_a_very_long_document_leaves_no_source_short(spark):
