@@ -23,6 +23,8 @@ from tessera.sources import io
 
 #: Writes to a segment after which its lineage is cut.
 CUT_AFTER = 8
+#: The same for VARIANT records, whose merges are large expressions that would be compiled into one another.
+CUT_VARIANT = 1
 
 
 @dataclass(frozen=True)
@@ -333,7 +335,7 @@ class Engine:
         match path:
             case A.PConst(str(p)):
                 full = io.absolute(p, self.base)
-                if not os.path.exists(full) and io._local(full):
+                if io._local(full) and not os.path.exists(full.removeprefix("file://")):
                     raise QueryError(f"no file {p}")
                 return io.read_documents(self.spark, fmt, [full], self._ordered, with_path=False), None
             case A.PTemplate(literals, patterns):
@@ -399,6 +401,10 @@ class Engine:
             for part in reversed(path):
                 v = V.struct({part: v})
             new = V.merged(old, v) if old is not None else v
+        if new.dynamic:
+            # a column of its own: what is built on it refers to it instead of holding its expression many times
+            f, column = f.with_column(new.col)
+            new = Val(F.col(column), new.type)
         return replace(f, env={**f.env, name: new}, unit=False)
 
     def where(self, condition: A.Node, f: Frame) -> Frame:
@@ -505,6 +511,8 @@ class Engine:
         if not order:
             order = {"": (n := fresh("r"))}
             df = df.withColumn(n, F.lit(0).cast("long"))
+        if isinstance(v.type, T.VariantType):
+            df = df.withColumn("rec", _computed_once(F.col("rec")))
         self.segments.append(Segment(df, v.type, tuple(order.values())))
 
     def create_from(self, df: DataFrame) -> None:
@@ -600,7 +608,7 @@ class Engine:
 
     def _store(self, i: int, s: Segment, df: DataFrame, t: T.DataType) -> None:
         writes = s.writes + 1
-        if writes >= CUT_AFTER:
+        if writes >= (CUT_VARIANT if isinstance(t, T.VariantType) else CUT_AFTER):
             df, writes = cut_lineage(df), 0
         self.segments[i] = Segment(df, t, s.order, writes)
 
@@ -657,6 +665,12 @@ class Engine:
 A_SAVED = ("JSONL", "TEXT", "PARQUET", "ORC", "CSV")
 
 
+def _computed_once(rec: Column) -> Column:
+    """The same value, behind which the optimizer doesn't copy the expression into every condition on the record: a chain
+    of writes would double it each time. Only for VARIANT records, of which no condition reaches a scan anyway."""
+    return F.when(F.rand(0) >= 0, rec)
+
+
 def _needs_order(s: A.Node) -> bool:
     """Whether what a statement gives depends on the order or the identity of rows."""
     match s:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.schema_check import conforms
 from tessera.operators import quality
 from tessera.operators.untemplate import untemplated
+from tessera.plans import workload
 from tessera.session import Session
 from tessera.sources.tables import table
 
@@ -372,9 +373,9 @@ FUNCTIONS: dict[str, tuple[QueryFunction, str]] = {
 
 
 def queries() -> dict[str, QueryFunction]:
-    return {**{n: _scripted(n) for n in SCRIPTS}, **{n: f for n, (f, _) in FUNCTIONS.items()}}
+    return {**{n: f for n, (f, _) in workload.QUERIES.items()}, **{n: _scripted(n) for n in SCRIPTS}, **{n: f for n, (f, _) in FUNCTIONS.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**{n: s for n, (_, s) in SCRIPTS.items()}, **{n: s for n, (_, s) in FUNCTIONS.items()}}
+    return {**{n: s for n, (_, s) in workload.QUERIES.items()}, **{n: s for n, (_, s) in SCRIPTS.items()}, **{n: s for n, (_, s) in FUNCTIONS.items()}}
 

@@ -150,7 +150,8 @@ def write_routed(df: DataFrame, path: Column, line: Column, order: list[str], ba
     """Each line into the file that its path names, or into a directory of parts under that name. Spark's writer makes
     the parts of each path under base, in shared storage; a path of many lines is written by several tasks."""
     files, tmp = Files(df.sparkSession, base), f"{base.rstrip('/')}/.{uuid.uuid4().hex}.parts"
-    out = df.select(path.alias("p"), line.alias("value"), *order)
+    named = F.when(path.isNull(), F.raise_error(F.lit("SAVE: a path is null"))).otherwise(path)
+    out = df.select(named.alias("p"), line.alias("value"), *order)
     out = out.repartitionByRange("p", *order).sortWithinPartitions("p", *order).select("p", "value")
     try:
         out.write.partitionBy("p").text(tmp)
