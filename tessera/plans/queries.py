@@ -6,13 +6,11 @@ columns plain types.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.schema_check import conforms
 from tessera.operators import quality
 from tessera.operators.untemplate import untemplated
 from tessera.plans import workload
@@ -57,8 +55,16 @@ SCRIPTS: dict[str, tuple[str, str]] = {
         "SELECT name, unnest(adjacent_regions) AS next FROM map_region",
     ),
     "unwind_twice": (
-        'LOAD PARQUET FROM "{d}/card.parquet" AS {rec_id, keyed_to: k[], playable: p[]}',
-        "SELECT rec_id, k, unnest(playable) AS p FROM (SELECT rec_id, playable, unnest(keyed_to) AS k FROM card)",
+        'LOAD PARQUET FROM "{d}/map_region.parquet" AS {name, adjacent_regions: a[]} LOAD PARQUET FROM "{d}/map_region.parquet" AS {name: a, adjacent_regions: b[]}',
+        "SELECT x.name, x.a, unnest(y.adjacent_regions) AS b FROM (SELECT name, unnest(adjacent_regions) AS a FROM map_region) x JOIN map_region y ON y.name = x.a",
+    ),
+    "unwind_two_arrays": (
+        'LOAD PARQUET FROM "{d}/card.parquet" AS {rec_id, skills, name} WHERE skills != null AND name != null WITH rec_id, skills.split(", ") AS s[], name.split(" ") AS n[] RETURN {rec_id, s, n}',
+        "SELECT rec_id, s, unnest(string_split(name, ' ')) AS n FROM (SELECT rec_id, name, unnest(string_split(skills, ', ')) AS s FROM card WHERE skills IS NOT NULL AND name IS NOT NULL)",
+    ),
+    "star": (
+        'LOAD PARQUET FROM "{d}/supplier.parquet" AS {s_suppkey: id, s_name: name} WITH *, 7 AS seven RETURN {id, name, seven}',
+        "SELECT s_suppkey AS id, s_name AS name, 7 AS seven FROM supplier",
     ),
     "unwind_split": (
         'LOAD PARQUET FROM "{d}/documents.parquet" AS {doc_id, source: "ruling", text} WHERE text != null WITH doc_id, text.split("\\n") AS line[] WHERE line != "" RETURN {doc_id, line}',
@@ -102,8 +108,8 @@ SCRIPTS: dict[str, tuple[str, str]] = {
         "SELECT o_orderkey AS k, o_orderpriority FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')",
     ),
     "not_exists_anti": (
-        'LOAD PARQUET FROM "{d}/customer.parquet" AS {c_custkey: k, c_name} WHERE NOT EXISTS(LOAD PARQUET FROM "{d}/orders.parquet" AS {o_custkey: k}) RETURN {k, c_name}',
-        "SELECT c_custkey AS k, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+        'LOAD PARQUET FROM "{d}/customer.parquet" AS {c_custkey: k, c_name} WHERE NOT EXISTS(LOAD PARQUET FROM "{d}/orders.parquet" AS {o_custkey: k, o_orderpriority: "1-URGENT"}) RETURN {k, c_name}',
+        "SELECT c_custkey AS k, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')",
     ),
     "regex_anti": (
         'LOAD PARQUET FROM "{d}/part.parquet" AS {p_partkey, p_type} SET patterns = ["^ECO", "BRASS$"] WHERE NOT EXISTS(WITH p_type, patterns AS pattern[] WHERE p_type.match(pattern)) RETURN {p_partkey, p_type}',
@@ -203,10 +209,6 @@ SCRIPTS: dict[str, tuple[str, str]] = {
         "SELECT rec_id FROM card WHERE mp IS NOT DISTINCT FROM mind",
     ),
     # ordering, sets
-    "order_json_text": (
-        'LOAD PARQUET FROM "{d}/part.parquet" AS {p_partkey, p_size} ORDER BY p_size RETURN {p_partkey, p_size}',
-        "SELECT p_partkey, p_size FROM part",
-    ),
     "distinct": (
         'LOAD PARQUET FROM "{d}/card.parquet" AS {card_type, alignment} RETURN DISTINCT {card_type, alignment}',
         "SELECT DISTINCT card_type, alignment FROM card",
@@ -279,6 +281,12 @@ def collect_runs(spark: SparkSession, d: str) -> DataFrame:
     return out.select("t", F.array_min("ids").alias("lowest"), F.size("ids").cast("long").alias("n"))
 
 
+def order_json_text(spark: SparkSession, d: str) -> DataFrame:
+    """Rows in the order of the JSON text of a number, with their places."""
+    out = Session(spark).query(f'LOAD PARQUET FROM "{d}/nation.parquet" AS {{n_nationkey, n_regionkey}} ORDER BY [n_regionkey, n_nationkey] WITH n_nationkey[] AS keys RETURN {{keys}}')
+    return out.select(F.posexplode("keys").alias("place", "n_nationkey")).select(F.col("place").cast("long").alias("place"), "n_nationkey")
+
+
 def drill_down(spark: SparkSession, d: str) -> DataFrame:
     return quality.drill_down(table(spark, d, "card"), "card_type", "alignment")
 
@@ -312,12 +320,28 @@ def formula_check(spark: SparkSession, d: str) -> DataFrame:
     return quality.formula_mismatches(lines, "total", F.ceil(F.col("n") * (F.col("n") + 1) / 2).cast("long")).select("l_orderkey", "total", "calculated")
 
 
-_PROPS = {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 5}}}
+_PROPS = '{type: "object", required: ["k"], properties: {k: {type: "integer", minimum: 5}}}'
 
 
 def schema_valid(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "events").select("event_id", F.to_json(F.parse_json("props")).alias("props"))
-    return rows.select("event_id", conforms("props", F.lit(json.dumps(_PROPS))).alias("valid"))
+    """IS JSON and IS NOT JSON of the language."""
+    session = Session(spark)
+    session.create(table(spark, d, "events").select("event_id", F.parse_json("props").alias("props")))
+    out = session.query(f"SET @schema = {_PROPS}; MATCH {{event_id, props}} RETURN {{event_id, valid: props IS JSON(@schema), wrong: props IS NOT JSON(@schema)}}")
+    return out.select("event_id", "valid", "wrong")
+
+
+def untemplate_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with a loop, an if within it, a safe part and both filters, taken apart again."""
+    n = table(spark, d, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list("n_name")).alias("names"))
+    items = F.array_join(F.transform("names", lambda x: F.concat(F.lit("<li>"), x, F.when(x > "J", F.lit("<i>late</i>")).otherwise(""), F.lit("</li>"))), "")
+    page = F.concat(F.lit("<h2>Reg. "), F.col("n_regionkey").cast("string"), F.lit("</h2><p><b>bold</b> text</p><ul>"), items, F.lit("</ul>ALL: "), F.array_join("names", "/"), F.lit("<hr>"))
+    template = "<h2>{{ region.title|replace('Region', 'Reg.') }}</h2><p>{{ region.about|safe }}</p><ul>{% for x in region.nations %}<li>{{ x.name }}{% if x.late %}<i>late</i>{% endif %}</li>{% endfor %}</ul>ALL: {{ region.all|join('/') }}<hr>"
+    got = untemplated(n.select("n_regionkey", page.alias("html")), "n_regionkey", "html", template)
+    text = lambda p: F.try_variant_get("result", p, "string")
+    inner = F.from_json(F.to_json("result"), "region struct<nations:array<struct<name:string,late:boolean>>,`all`:array<string>>")
+    one = got.select("n_regionkey", "ok", text("$.region.title").alias("title"), text("$.region.about").alias("about"), inner.alias("r"))
+    return one.select("n_regionkey", "ok", "title", "about", F.size("r.region.all").cast("long").alias("n_all"), F.explode("r.region.nations").alias("x")).select("n_regionkey", "ok", "title", "about", "n_all", "x.name", "x.late")
 
 
 def untemplate_cards(spark: SparkSession, d: str) -> DataFrame:
@@ -339,6 +363,10 @@ FUNCTIONS: dict[str, tuple[QueryFunction, str]] = {
         "g AS (SELECT *, CASE WHEN lag(event_type) OVER (ORDER BY n) = event_type THEN 0 ELSE 1 END AS s FROM o), "
         "r AS (SELECT *, sum(s) OVER (ORDER BY n) AS run FROM g) SELECT event_type AS t, min(event_id) AS lowest, count(*) AS n FROM r GROUP BY run, event_type",
     ),
+    "order_json_text": (
+        order_json_text,
+        "SELECT row_number() OVER (ORDER BY '[' || n_regionkey || ', ' || n_nationkey || ']') - 1 AS place, n_nationkey FROM nation",
+    ),
     "drill_down": (
         drill_down,
         "SELECT card_type, alignment, count(*) AS n FROM (SELECT coalesce(card_type, 'None') AS card_type, coalesce(alignment, 'None') AS alignment FROM card) GROUP BY ROLLUP (card_type, alignment)",
@@ -364,7 +392,11 @@ FUNCTIONS: dict[str, tuple[QueryFunction, str]] = {
         formula_check,
         "SELECT * FROM (SELECT l_orderkey, CAST(sum(l_linenumber) AS BIGINT) AS total, CAST(ceil(count(*) * (count(*) + 1) / 2) AS BIGINT) AS calculated FROM lineitem GROUP BY l_orderkey) WHERE total <> calculated",
     ),
-    "schema_valid": (schema_valid, "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) >= 5 AS valid FROM events"),
+    "schema_valid": (schema_valid, "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) >= 5 AS valid, CAST(json_extract(props, '$.k') AS BIGINT) < 5 AS wrong FROM events"),
+    "untemplate_lists": (
+        untemplate_lists,
+        "SELECT n_regionkey, true AS ok, 'Region ' || n_regionkey AS title, '<b>bold</b> text' AS about, count(*) OVER (PARTITION BY n_regionkey) AS n_all, n_name AS name, n_name > 'J' AS late FROM nation",
+    ),
     "untemplate_cards": (
         untemplate_cards,
         r"SELECT rec_id, true AS ok, regexp_replace(name, '^\s+|\s+$', '', 'g') AS name, card_type AS type, regexp_replace(text, '\s+$', '') AS text FROM card WHERE name IS NOT NULL",

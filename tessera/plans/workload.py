@@ -175,10 +175,10 @@ def workload_missing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def load_jsonl_glob(spark: SparkSession, d: str) -> DataFrame:
-    """The place of every record in the order of files and lines."""
-    out = Session(spark, base=prepared(spark, d)).query("LOAD JSONL FROM `feed/${source}.jsonl` AS {rec_id} WITH [source, rec_id][] AS all RETURN {all}")
-    listed = out.select(F.posexplode(F.from_json(F.to_json("all"), "array<array<string>>")).alias("place", "x"))
-    return listed.select(F.col("place").cast("long").alias("place"), F.get("x", F.lit(0)).alias("source"), F.get("x", F.lit(1)).cast("long").alias("rec_id"))
+    """The records of every file, in the order of its lines."""
+    out = Session(spark, base=prepared(spark, d)).query("LOAD JSONL FROM `feed/${source}.jsonl` AS {rec_id} WITH source, rec_id[] AS ids RETURN {source, ids}")
+    ids = F.from_json(F.to_json("ids"), "array<string>")
+    return out.select("source", F.size(ids).cast("long").alias("n"), F.md5(F.array_join(ids, ",")).alias("in_order"))
 
 
 def load_json(spark: SparkSession, d: str) -> DataFrame:
@@ -224,7 +224,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
         "UNION ALL SELECT rec_id, 'prowess', prowess FROM o WHERE NOT regexp_full_match(prowess, '[1-9][0-9]?|-') UNION ALL SELECT rec_id, 'body', body FROM o WHERE NOT regexp_full_match(body, '[1-9]|10|-')",
     ),
     "workload_missing": (workload_missing, f"{_OUT} SELECT rec_id, name, source FROM card WHERE source IS NOT NULL AND name IS NOT NULL AND name NOT IN (SELECT name FROM o WHERE name IS NOT NULL)"),
-    "load_jsonl_glob": (load_jsonl_glob, "SELECT row_number() OVER (ORDER BY source, CAST(rec_id AS VARCHAR) || ']') - 1 AS place, source, rec_id FROM card WHERE source IS NOT NULL"),
+    "load_jsonl_glob": (load_jsonl_glob, "SELECT source, count(*) AS n, md5(string_agg(CAST(rec_id AS VARCHAR), ',' ORDER BY CAST(rec_id AS VARCHAR) || ']')) AS in_order FROM card WHERE source IS NOT NULL GROUP BY source"),
     "load_json": (load_json, "SELECT unnest(['rec_id', 'name', 'mp', 'category']) AS field, 'object' AS type"),
     "load_text": (load_text, "SELECT * FROM (VALUES ('prowess', '[1-9][0-9]?'), ('prowess', '-'), ('body', '[1-9]'), ('body', '10'), ('body', '-')) v(attr, line)"),
     "file_join": (file_join, "SELECT source, rec_id FROM card JOIN source_file USING (source) WHERE category = 'Agents'"),

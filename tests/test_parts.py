@@ -8,7 +8,7 @@ from tessera.functions.schema_check import valid
 from tessera.functions.textform import skeleton, skeleton_with_origin
 from tessera.operators import quality
 from tessera.sources.io import dump_jsonl, read_all_jsonl, read_jsonl
-from tessera.sources.scrape import card_lines, scraped
+from tessera.sources.scrape import card_lines, keyed_lines, placed_lines, scraped
 from tessera.streaming.matching import matched, told_apart
 
 
@@ -45,30 +45,24 @@ def test_quality(spark, rows):
     assert quality.drill_down(df.limit(0), "k").where("k is not null").collect() == []
 
 
-PAGE = """<h2>Ann</h2><p>TYPE: Hero<br>SKILLS: a/b<br>Some <b>text</b> here<br>MP: 2</p><h2>Bob</h2>x"""
-ROW = "<table><tr align=x><th>Name</th></tr><tr align='left'>" + "".join(f"<td>{x}</td>" for x in ["Ann", "C1", "2", "5", "1", "3/8", "Warrior/Sage Elf", "Unique.", "Home Site: There"]) + "</tr></table>"
+SHOP = "<section><h3>Lamp</h3><p>PRICE: 12</p><p>TAGS: oil,brass</p>Burns <em>all</em> night<p>SIZE: tall</p></section><h3>Rope</h3>ten yards"
 
 
-def test_scraping(spark):
-    assert card_lines(PAGE, "h2")[1] == ["Bob", "x"]
-    df = spark.createDataFrame([(1, PAGE), (2, None)], "id int, html string")
-    got = {r["card_no"]: json.loads(r["a"]) for r in scraped(df, "id", "html", "keys").select("card_no", F.to_json("attributes").alias("a")).collect()}
-    assert got[0] == {"MP": "2", "NAME": "Ann", "SKILLS": ["a", "b"], "TEXT": "Some text here", "TYPE": "Hero"}
-    row = scraped(spark.createDataFrame([(1, ROW), (2, "<tr align=l><td>x</td></tr>")], "id int, html string"), "id", "html", "row").select("id", F.to_json("attributes").alias("a"), "error").collect()
-    good = json.loads(next(r["a"] for r in row if r["id"] == 1))
-    assert good["BODY"] == 8 and good["SKILLS"] == ["Warrior", "Sage"] and good["RACE"] == "Elf" and good["HOME_SITE"] == "There"
-    assert next(r["error"] for r in row if r["id"] == 2).startswith("ValueError")
+def test_scraping_by_keys(spark):
+    assert card_lines(SHOP, "h3")[1] == ["Rope", "ten yards"]
+    df = spark.createDataFrame([(1, SHOP), (2, None), (3, "<p>nothing</p>")], "id int, html string")
+    layout = keyed_lines(("PRICE", "TAGS"), "item", "about", ("TAGS",), ",")
+    got = {(r["id"], r["card_no"]): json.loads(r["a"]) for r in scraped(df, "id", "html", "h3", layout).select("id", "card_no", F.to_json("attributes").alias("a")).collect()}
+    assert got == {(1, 0): {"item": "Lamp", "about": "Burns all night SIZE: tall", "PRICE": "12", "TAGS": ["oil", "brass"]}, (1, 1): {"item": "Rope", "about": "ten yards"}}
 
 
-def test_other_layouts(spark):
-    bold = "<b>Ann</b><i>C1</i><i>2</i><i>5</i><i>1</i><i>3/8</i><i>Sage Elf</i><i>Unique. Home Site: There</i>"
-    details = "<h2>Ann</h2><i>Hero</i><i>Sage Elf</i><i>[3/8; 2 character MP; 5 mind; 1 direct influence; -1 corruption mod; Home Site: There]</i><i>Unique.</i>"
-    labels = "<h2>Ann</h2><i>Rarity: C</i><i>Mind: 5</i><i>DI: 1</i><i>Pr/Bd: 3/8</i><i>Sage Elf</i><i>Unique. Home Site: There</i>"
-    for layout, page in (("bold", bold), ("details", details), ("labels", labels)):
-        (r,) = scraped(spark.createDataFrame([(1, page)], "id int, html string"), "id", "html", layout).select(F.to_json("attributes").alias("a"), "error").collect()
-        assert r["error"] is None, (layout, r["error"])
-        a = json.loads(r["a"])
-        assert (a["NAME"], a["BODY"], a["MIND"], a["HOME_SITE"], a["RACE"]) == ("Ann", 8, 5, "There", "Elf")
+def test_scraping_by_places(spark):
+    page = "<ul><li class=head>Item</li><li class=ware>Lamp</li>12</ul><ul><li class=ware>Rope</li>x</ul><li class=ware>Pot</li>"
+    layout = placed_lines({"item": lambda x: x[0], "price": lambda x: int(x[1])}, (2,))
+    out = scraped(spark.createDataFrame([(1, page)], "id int, html string"), "id", "html", lambda name, attrs, inner: attrs.get("class") == "ware", layout)
+    got = {r["card_no"]: (r["a"] and json.loads(r["a"]), r["error"]) for r in out.select("card_no", F.to_json("attributes").alias("a"), "error").collect()}
+    assert got[0] == ({"item": "Lamp", "price": 12}, None)
+    assert got[1][0] is None and got[1][1].startswith("ValueError") and got[2][1] == "ValueError: 1 lines, expected 2"
 
 
 def test_jsonl_functions(spark, tmp_path, rows):

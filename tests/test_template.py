@@ -18,27 +18,20 @@ TYPE: {{ card.type }}<br>
 @pytest.mark.parametrize(
     ("template", "text", "result"),
     [
-        ("<p>", "<p>", (True, {})),
-        ("{{ name }}", "Ann", (True, {"name": "Ann"})),
-        ("<p>{{ name }}</p>", " < P >Ann</P>\n", (True, {"name": "Ann"})),
-        ("<p>{{ a.name }}</p><i>{{ a.age }}</i>", "<p>Ann</p><i>7</i>", (True, {"a": {"age": "7", "name": "Ann"}})),
-        ("<p>{{ name }}</p>", "<b>Ann</b>", (False, "Expected '<p>' at 1:1")),
-        ("<p>{{ t }}</p>{{ m|safe }}<br>{{ l|safe }}", "<p>x</p>a<br>b<br>c", (True, {"l": "b<br>c", "m": "a", "t": "x"})),
-        ("<p>{{ t }}</p>{{ m|safe }}<br>{{ l }}", "<p>&lt;x&gt;</p>a<br>b<br>&copy; c", (True, {"l": "© c", "m": "a<br>b", "t": "<x>"})),
-        ("{{ a }} {{ b }}", "x y", (True, {"a": "", "b": "x y"})),
-        ("{{ a }}{{ ' ' }}{{ b }}", "x y", (True, {"a": "x", "b": "y"})),
-        ("{{ n|replace('Long', 'L.') }}", "L. name", (True, {"n": "Long name"})),
-        ("S: {{ s|join('/') }}", "S: a/b", (True, {"s": ["a", "b"]})),
-        ("<p>{{ x }}</p><i>It is {{ x }}.</i>", "<p>a</p><i>It is b.</i>", (False, "Expected 'a' at 1:18")),
-        ("{% for c in cs %}<p>{{ c.n }}</p>{{ c.t }}<br>{% endfor %}", "<p>A</p>x<br><p>B</p>y<br>", (True, {"cs": [{"n": "A", "t": "x"}, {"n": "B", "t": "y"}]})),
-        ("<q>{% for n in a.ns %}<p>{{ n }}</p>{% endfor %}</q>", "<q></q>", (True, {"a": {"ns": []}})),
-        ("{% for c in cs %}<p>{{ c }}</p><i w='{{ w }}'>{% endfor %}", "<p>A</p><i w='2'><p>B</p><i w='3'>", (False, "Expected '2' at 1:32")),
-        ("{{ t }}{% if _b %}<br>{% endif %}", "x<br>", (True, {"_b": True, "t": "x"})),
-        ("{{ t }}{% if _b %}<br>{% endif %}", "x", (True, {"_b": False, "t": "x"})),
-        ("{% if k == 'a' %}1{% else %}2{% endif %}", "2", (True, {})),
-        ("{# a remark #}<p>", "<p>", (True, {})),
-        ("{{ a }}", "", (True, {"a": ""})),
-        ("{% if c.k == [] %}none{% else %}{% for x in c.k %}<p>{{ x }}</p>{% endfor %}{% endif %}", "none", (True, {"c": {"k": []}})),
+        ("<hr>plain", "<HR> plain", (True, {})),
+        ("{{ ware }}", "Lamp &amp; oil", (True, {"ware": "Lamp & oil"})),
+        ("<td>{{ ware.name }}</td><td>{{ ware.price }}</td>", "<TD>Rope</TD>\n<td>9</td>", (True, {"ware": {"name": "Rope", "price": "9"}})),
+        ("<li>{{ ware }}</li>", "<ul>Rope</ul>", (False, "Expected '<li>' at 1:1")),
+        ("<h3>{{ ware }}</h3>{{ about|safe }}<hr>{{ note }}", "<h3>&quot;Pot&quot;</h3>iron<br>black<hr>&eacute;t&eacute;", (True, {"ware": '"Pot"', "about": "iron<br>black", "note": "été"})),
+        ("{{ n|replace('Doz', 'Dz') }} pieces", "Dz pieces", (True, {"n": "Doz"})),
+        ("Tags: {{ tags|join(', ') }};", "Tags: oil, brass, old;", (True, {"tags": ["oil", "brass", "old"]})),
+        ("<b>{{ ware }}</b> costs less than <b>{{ ware }}</b>", "<b>Pot</b> costs less than <b>Pan</b>", (False, "Expected 'Pot' at 1:31")),
+        ("{% for w in wares %}<li>{{ w.name }}: {% if w.old %}used{% else %}new{% endif %}</li>{% endfor %}", "<li>Pot: used</li><li>Pan: new</li>", (True, {"wares": [{"name": "Pot", "old": True}, {"name": "Pan", "old": False}]})),
+        ("<ol>{% for w in shop.wares %}<li>{{ w }}</li>{% endfor %}</ol>", "<ol></ol>", (True, {"shop": {"wares": []}})),
+        ("{% if shop.open %}<i>open</i>{% for w in shop.wares %}<li>{{ w }}</li>{% endfor %}{% endif %}", "<i>open</i><li>Pot</li>", (True, {"shop": {"open": True, "wares": ["Pot"]}})),
+        ("{% if kind == 'pot' %}round{% else %}long{% endif %}", "long", (True, {})),
+        ("{# not shown #}<hr>", "<hr>", (True, {})),
+        ("{{ about }}", "", (True, {"about": ""})),
         ("{% for c in cs %}{{ c }}{% endfor %}<p>", "<p>", (True, {"cs": []})),
         (CARD, "<h2>A</h2>TYPE: Hero<br>CLASS: c<br>Unique.<br>", (True, {"card": {"class": "c", "name": "A", "text": "Unique.", "type": "Hero"}})),
         (CARD, "<h2>A</h2>TYPE: Thing<br>Unique.<br>", (True, {"card": {"class": None, "name": "A", "text": "Unique.", "type": "Thing"}})),
@@ -56,10 +49,10 @@ def test_first_failure_furthest_on():
 
 
 def test_tries_are_limited():
-    t = "{{ a }}{{ ' ' }}{{ b }}"
-    assert load_template(t, max_tries=5)("Warrior Dwarf") == (False, "Expected ' ' at 1:7")
-    assert load_template(t, max_tries=6)("Warrior Dwarf") == (False, "Expected end of file at 1:9")
-    assert load_template(t)("Warrior Dwarf")[0]
+    t = load_template("{{ first }}{{ '-' }}{{ last }}<hr>")
+    assert t("north-east-gate<hr>")[0]
+    few = load_template("{{ first }}{{ '-' }}{{ last }}<hr>", max_tries=2)("north-east-gate<hr>")
+    assert few[0] is False and few[1].startswith("Expected")
 
 
 def test_long_lists_need_no_deep_stack():
