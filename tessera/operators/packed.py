@@ -357,6 +357,7 @@ def infer_delimiters(long: DataFrame, names: dict[str, tuple[str, ...]], sharded
     # pieces are counted before they are joined; of the unknown ones only those that turn out to be known count
     stats = stats.groupBy("src", "field", "d", "key").agg(*sums).join(known.withColumn("hit", F.lit(True)), ["field", "key"], "left")
     by = stats.where("key is null or hit").groupBy("src", "field", "d").agg(*sums).persist()
+    by.count()  # two branches read it: computed before, it is computed once
     overall = by.groupBy("field", "d").agg(*[F.sum(c).alias("all_" + c) for c in ("n", "p", "pp", "k")])
     lean = F.lit(PRIOR) / F.col("all_n")
     # overall has a row for each field and candidate: a few dozen, whatever the input
@@ -477,6 +478,9 @@ def split_packed(
         for s, f, r, d, g, w in zip(src, field, raw, delims, guard, whole):
             ds = tuple(d) if by_source is None else by_source[s, f] if (s, f) in by_source else by_source.get((None, f), ())
             key = (f, r, ds)
+            if r is None:
+                out.append(None)
+                continue
             if key not in memo:
                 if len(memo) > 200_000:
                     memo.clear()
@@ -485,5 +489,7 @@ def split_packed(
             out.append(memo[key])
         return pd.Series(out)
 
-    items: Column = split("src", "field", "raw", "delims", "guard", "whole")
+    # a value of one word goes nowhere: it reaches Python as a null
+    word = F.col("raw").rlike(r"^[\p{L}\p{N}-]+$")
+    items: Column = F.coalesce(F.when(word, F.array("raw")), split("src", "field", F.when(~word, F.col("raw")), "delims", "guard", "whole"))
     return long.select("rid", "field", items.alias("items")).select("rid", "field", F.size("items").alias("n_items"), F.posexplode("items").alias("p0", "item")).select(F.col("rid").alias(id_col), "field", (F.col("p0") + 1).cast("int").alias("pos"), "item", "n_items")
