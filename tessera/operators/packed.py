@@ -471,25 +471,31 @@ def split_packed(
     sent = df.sparkSession.sparkContext.broadcast((own, whole))
     memo: dict[tuple, list[str]] = {}  # of one task
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(src: pd.Series, field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:
+    def pieces(s: str, f: str, r: str, d: list[str] | None = None, g: list[int] | None = None, w: bool | None = None) -> list[str] | None:
+        if r is None:
+            return None
         by_source, lone = sent.value
-        out = []
-        for s, f, r, d, g, w in zip(src, field, raw, delims, guard, whole):
-            ds = tuple(d) if by_source is None else by_source[s, f] if (s, f) in by_source else by_source.get((None, f), ())
-            key = (f, r, ds)
-            if r is None:
-                out.append(None)
-                continue
-            if key not in memo:
-                if len(memo) > 200_000:
-                    memo.clear()
-                spans = _placed(_unbracketed(r), zip(g[::2], g[1::2])) if f in sharded else None
-                memo[key] = split_value(r, ds, _names(listed.get(f, ())), spans, bool(w) if lone is None else (f, r) in lone)
-            out.append(memo[key])
-        return pd.Series(out)
+        ds = tuple(d) if by_source is None else by_source[s, f] if (s, f) in by_source else by_source.get((None, f), ())
+        key = (f, r, ds)
+        if key not in memo:
+            if len(memo) > 200_000:
+                memo.clear()
+            spans = _placed(_unbracketed(r), zip(g[::2], g[1::2])) if f in sharded else None
+            memo[key] = split_value(r, ds, _names(listed.get(f, ())), spans, bool(w) if lone is None else (f, r) in lone)
+        return memo[key]
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def split(src: pd.Series, field: pd.Series, raw: pd.Series) -> pd.Series:
+        return pd.Series(list(map(pieces, src, field, raw)), dtype=object)
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def split_joined(src: pd.Series, field: pd.Series, raw: pd.Series, delims: pd.Series, guard: pd.Series, whole: pd.Series) -> pd.Series:
+        return pd.Series(list(map(pieces, src, field, raw, delims, guard, whole)), dtype=object)
 
     # a value of one word goes nowhere: it reaches Python as a null
     word = F.col("raw").rlike(r"^[\p{L}\p{N}-]+$")
-    items: Column = F.coalesce(F.when(word, F.array("raw")), split("src", "field", F.when(~word, F.col("raw")), "delims", "guard", "whole"))
+    packed = F.when(~word, F.col("raw"))
+    plain = own is not None and whole is not None and not many
+    made = split("src", "field", packed) if plain else split_joined("src", "field", packed, "delims", "guard", "whole")
+    items: Column = F.coalesce(made, F.array("raw"))
     return long.select("rid", "field", items.alias("items")).select("rid", "field", F.size("items").alias("n_items"), F.posexplode("items").alias("p0", "item")).select(F.col("rid").alias(id_col), "field", (F.col("p0") + 1).cast("int").alias("pos"), "item", "n_items")
