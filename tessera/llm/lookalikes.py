@@ -211,7 +211,7 @@ def consistent_forms(df: DataFrame, id_col: str, fields: list[str]) -> DataFrame
             cache[0] = Rewriter(rewriter.value)
         w = cache[0]
         memo: dict[str, str] = {}
-        return pd.Series([memo[r] if r in memo else memo.setdefault(r, w(r)) for r in raw], dtype=object)
+        return pd.Series([None if r is None else memo[r] if r in memo else memo.setdefault(r, w(r)) for r in raw], dtype=object)
 
     packed = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("raw")) for f in fields])).alias("p")
     long = df.select(F.col(id_col).alias("rid"), packed).select("rid", "p.field", "p.raw").where("raw is not null")
@@ -222,7 +222,8 @@ def rewritten(raw: Column, forms: dict[str, str], rewrite) -> Column:  # noqa: A
     """raw in the consistent form; texts that hold nothing but characters that stay don't leave the JVM."""
     if any(u.isascii() for u in forms):
         return rewrite(raw)
-    return F.when(raw.rlike(r"^\p{ASCII}*+\z"), raw).otherwise(rewrite(raw))
+    # a Python function sees every row, whatever the condition around it: what needn't go there goes as a null
+    return F.coalesce(rewrite(F.when(~raw.rlike(r"^\p{ASCII}*+\z"), raw)), raw)
 
 
 def rewrite_all(texts: Iterable[str]) -> list[str]:

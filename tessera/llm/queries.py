@@ -39,7 +39,7 @@ def _entered(spark: SparkSession, d: str) -> DataFrame:
     def rewrite(raw):  # noqa: ANN001, ANN202
         if not cache:
             cache.append(lookalikes.Rewriter(sent.value))
-        return raw.map(cache[0])
+        return raw.map(cache[0], na_action="ignore")
 
     one = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("raw")) for f in ("race", "site_type")])).alias("p")
     single = card.select("rec_id", one).select("rec_id", "p.field", F.lit(1).alias("pos"), "p.raw").where("raw is not null")
