@@ -26,10 +26,11 @@ SCHEMA = {
 }
 
 EXPORT = """
+-- an empty text has no lines, as a missing one
 MATCH {rec_id, source, card_type, alignment, name, mp, prowess, body, text}
 WHERE source != null
 ORDER BY [source, rec_id]
-SAVE JSONL {rec_id, card_type, alignment, name, mp, prowess, body, text: CASE WHEN text == null THEN [] ELSE text.split("\\n") END} TO `feed/${source}.jsonl`;
+SAVE JSONL {rec_id, card_type, alignment, name, mp, prowess, body, text: CASE WHEN text == null OR text == "" THEN [] ELSE text.split("\\n") END} TO `feed/${source}.jsonl`;
 
 WITH ["[1-9][0-9]?", "-"] AS line[] SAVE TEXT line TO "regex/prowess.txt";
 WITH ["[1-9]", "10", "-"] AS line[] SAVE TEXT line TO "regex/body.txt";
