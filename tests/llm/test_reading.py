@@ -124,3 +124,36 @@ def test_chunks_change_nothing(spark, monkeypatch):
     one = sorted(map(tuple, reading.reading_levels(docs, labels).collect()))
     monkeypatch.setattr(reading, "CHUNK_WORDS", 1)
     assert sorted(map(tuple, reading.reading_levels(docs, labels).collect())) == one
+
+
+def test_training_takes_all_labelled_documents(spark):
+    n = 20_300
+    docs = spark.range(n, numPartitions=4).selectExpr("id as doc_id", "concat('Cat sat ', if(id % 2 = 0, 'here', 'beyond')) as text")
+    counts, (starts, values) = train(docs, docs.selectExpr("doc_id", "cast(1 + doc_id % 2 as int) as band"))
+    assert counts.by[:, :, counts.keys < len(counts.number)].sum() == n  # sentences that begin
+    assert counts.by.sum() == 3 * n and values == [0.0, 1.0]
+
+
+def test_steps_pooled_in_parts_are_those_of_all_points(spark):
+    r = random.Random(3)
+    points = [(round(r.gauss(k, 2), 2), float(k)) for k in range(4) for _ in range(500)]
+    starts, values = isotonic(points)
+    ends = [max((x for x, _ in points if x < s), default=s) for s in starts]
+    got = reading.fitted(spark.createDataFrame(points, "x double, y double").repartition(7))
+    assert len(starts) > 3 and got == ([(a + s) / 2 for a, s in zip(ends, starts)], values)
+    assert reading.fitted(spark.createDataFrame([], "x double, y double")) == ([], [])
+
+
+@pytest.mark.parametrize("chars", [1, 5_000, 10**9])
+def test_joined_bigrams_change_nothing(spark, monkeypatch, chars):
+    made = _corpus(60)
+    more = [(900, None, "", 0), (901, "Too short.", "", 0), (902, "Unseen words only. " * 30, "", 0), (903, made[0][1], "", 0), (903, made[0][1], "", 0), (3, made[3][1], "", 0)]
+    docs, labels = _tables(spark, [(i, t, "", 0) for i, t, _ in made] + more, [(i, b) for i, _, b in made])
+    one = sorted(map(tuple, reading.reading_levels(docs, labels).collect()))
+    fit = train(docs, labels)[1]
+    monkeypatch.setattr(reading, "SENT_BIGRAMS", 0)
+    monkeypatch.setattr(reading, "SENT_LABELS", 0)
+    monkeypatch.setattr(reading, "JOINED_CHARS", chars)
+    counts, again = train(docs, labels)
+    assert len(counts) == 0 and again == fit
+    assert sorted(map(tuple, reading.reading_levels(docs, labels).collect())) == one and len(one) == 64
