@@ -140,7 +140,7 @@ def is_array(col: Column) -> Column:
 
 def as_map(v: Val) -> Column:
     """map<string,variant> of a dynamic object, null for anything else."""
-    return F.when(is_object(v.col), v.col).cast("map<string,variant>")
+    return F.try_variant_get(v.col, "$", "map<string,variant>")
 
 
 def as_array(v: Val) -> Column:
@@ -148,6 +148,14 @@ def as_array(v: Val) -> Column:
     return F.when(is_array(v.col), v.col).cast("array<variant>")
 
 
+def entry(v: Val, key: Column) -> Column:
+    """The value of a key of a dynamic object, null where there is none. A key that a path can hold is looked up; a map
+    of all the object's keys is made only for others."""
+    plain = key.rlike("^[A-Za-z0-9_-]+\\z")
+    path = F.concat(F.lit("$['"), key, F.lit("']"))
+    return F.when(plain, F.try_variant_get(v.col, path, "variant")).otherwise(F.try_element_at(as_map(v), key))
+
+
 def as_string(v: Val, strict: bool, what: str) -> Column:
     """The string of a value; another kind of value is an error, or null if errors are."""
     if isinstance(v.type, T.StringType):

@@ -97,6 +97,8 @@ class Engine:
         f = self.start()
         for clause in q.reads:
             f = self.read(clause, f)
+        if isinstance(q.write, A.Save):
+            return self.save(q.write.format, q.write.value, q.write.path, f, q.reads[-1].key if q.reads and isinstance(q.reads[-1], A.OrderBy) else None)
         return self.write(q.write, f, bool(q.reads)) if q.write else f
 
     def result(self, f: Frame) -> DataFrame:
@@ -452,8 +454,6 @@ class Engine:
                 self.merge(patch, pattern, f, has_reads)
             case A.Delete(pattern):
                 self.delete(pattern, f, has_reads)
-            case A.Save(fmt, value, path):
-                self.save(fmt, value, path, f)
         return None
 
     def returned(self, value: A.Node, distinct: bool, f: Frame) -> Frame:
@@ -633,7 +633,7 @@ class Engine:
                 on = on & F.col(o).eqNullSafe(F.col(c + "m"))
             self._store(i, s, s.df.join(gone, on, "left_anti"), s.type)
 
-    def save(self, fmt: str, value: A.Node, path: A.Node, f: Frame) -> None:
+    def save(self, fmt: str, value: A.Node, path: A.Node, f: Frame, sorted_by: A.Node | None = None) -> None:
         if fmt == "JSON" or fmt not in A_SAVED:
             raise QueryError(f"SAVE {fmt} isn't supported")
         f, (value, path) = self.lift(f, value, path)
@@ -651,6 +651,9 @@ class Engine:
                 io.write_lines(f.df, line, order, io.absolute(path.value, self.base), self.single_files)
             return
         where = F.concat(F.lit(io.absolute("", self.base)), V.as_string(ex.value(path), self.strict, "SAVE"))
+        if _one_run(path, sorted_by):
+            io.write_routed(f.df, where, line, order, io.absolute("", self.base), self.single_files)
+            return
         # a path that comes back after another starts its file again: the last run of each path counts
         from tessera.plans.frame import run_ids
 
@@ -668,7 +671,8 @@ A_SAVED = ("JSONL", "TEXT", "PARQUET", "ORC", "CSV")
 def _computed_once(rec: Column) -> Column:
     """The same value, behind which the optimizer doesn't copy the expression into every condition on the record: a chain
     of writes would double it each time. Only for VARIANT records, of which no condition reaches a scan anyway."""
-    return F.when(F.rand(0) >= 0, rec)
+    # of rand() the optimizer knows that it is never negative, and drops the condition
+    return F.when(F.spark_partition_id() >= 0, rec)
 
 
 def _needs_order(s: A.Node) -> bool:
@@ -744,6 +748,16 @@ def _fans_out(p: A.Node) -> bool:
     return False
 
 
+def _one_run(path: A.Node, sorted_by: A.Node | None) -> bool:
+    """Whether the rows of a path are adjacent whatever the values are: the path has one variable, and ORDER BY has it
+    alone or first in an array, whose JSON text begins with it."""
+    first = sorted_by.parts[0] if isinstance(sorted_by, A.Array) and sorted_by.parts else (False, sorted_by)
+    match path, first:
+        case A.Template(_, (A.Var(name),)), (False, A.Var(by)):
+            return name == by
+    return False
+
+
 def _python(e: A.Node) -> bool:
     """Whether an expression needs a Python function."""
     if isinstance(e, A.Valid) or (isinstance(e, A.Call) and e.method == "replace" and len(e.args) > 2):

@@ -193,7 +193,7 @@ class Expressions:
                 at = F.when(i.col >= 0, i.col + 1).otherwise(i.col).cast("int")
                 return Val(self.missing(F.try_element_at(V.as_array(d), at), "no such element"), VARIANT)
             key = V.as_string(i, self.strict, "element")
-            return Val(self.missing(F.try_element_at(V.as_map(d), key), "no such key"), VARIANT)
+            return Val(self.missing(V.entry(d, key), "no such key"), VARIANT)
         raise QueryError(f"no elements in {v.type.simpleString()}")
 
     def add(self, a: Val, b: Val) -> Val:

@@ -159,6 +159,7 @@ def write_routed(df: DataFrame, path: Column, line: Column, order: list[str], ba
             parts, target = f"{tmp}/{directory}", unquote(directory.removeprefix("p="))
             if single:
                 files.put([f"{parts}/{n}" for n in files.names(parts, "part-")], target)
+                files.drop(parts)  # no path's lines stand there twice while the next ones are copied
             else:
                 files.move(parts, target)
     finally:

@@ -1,12 +1,16 @@
 """The workload on odd records against its SQL."""
 
+import json
+
 import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from test_entry import canonical
 
-from tessera.plans import workload
+from tessera.functions import values as V
+from tessera.plans import frame, workload
+from tessera.session import Session
 
 TEXTS = ["", None, "\n", "\nsecond", "one", "one\ntwo", " ", "a \"quoted\" line\né"]
 
@@ -32,3 +36,41 @@ def test_odd_records_against_sql(spark, odd, name):
     cur = con.execute(sql)
     expected = pd.DataFrame(cur.fetchall(), columns=[c[0] for c in cur.description])
     assert len(expected) and canonical(query(spark, odd).toPandas()) == canonical(expected)
+
+
+def test_a_record_is_built_once(spark, odd):
+    """The conditions on its keys must not each build it again."""
+    df = workload.workload_extract(spark, odd)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_concat") == 1 and df.count() == 32
+
+
+def test_an_export_sorted_by_its_paths_numbers_no_runs(spark, tmp_path, monkeypatch):
+    def never(*_):
+        raise AssertionError("runs are numbered")
+
+    monkeypatch.setattr(frame, "run_ids", never)
+    s = Session(spark, base=str(tmp_path))
+    s.create(spark.createDataFrame([(i, "ab c"[i % 4], f"{i % 3}") for i in range(60)], "i int, g string, h string"))
+    s.query("MATCH {i, g, h} ORDER BY [g, h] SAVE JSONL {i} TO `of/${g}.jsonl`")
+    for k, g in enumerate("ab c"):
+        want = sorted(range(k, 60, 4), key=lambda i: (i % 3, i))
+        assert [json.loads(x)["i"] for x in (tmp_path / "of" / f"{g}.jsonl").read_text().splitlines()] == want
+    # of two variables, or sorted by another, a path may come back
+    for order, path in (("[g, h]", "${h}"), ("[g, h]", "${g}${h}"), ("[h, g]", "${g}"), ("[g + h]", "${g}")):
+        with pytest.raises(AssertionError, match="runs are numbered"):
+            s.query(f"MATCH {{i, g, h}} ORDER BY {order} SAVE JSONL {{i}} TO `of/{path}.jsonl`")
+
+
+KEYS = {"a": 1, "b-c": None, "": 3, " x": 4, "q'": 5, 'q"': 6, "a.b": 7, "?": 8, "é": 9, "n\nl": 10, "0": 11, "-": {"z": 1}, "'\"": 12, "[0]": [1]}
+
+
+def test_any_key_of_an_object_is_found(spark):
+    documents = [json.dumps(KEYS), "[1, 2]", '"s"', "null", "{}", None]
+    rows = [(d, k) for d in documents for k in [*KEYS, "zz", "a\n", None]]
+    got = spark.createDataFrame(rows, "d string, k string").select("d", "k", F.to_json(V.entry(V.Val(F.parse_json("d"), V.VARIANT), F.col("k"))).alias("x"))
+    for r in got.collect():
+        there = r["d"] == documents[0] and r["k"] in KEYS
+        assert (json.loads(r["x"]) == KEYS[r["k"]] if there else r["x"] is None), r
+    plain = got.where("k = 'a' and d like '{\"a\"%'")
+    assert "$['" in plain._jdf.queryExecution().optimizedPlan().toString()
