@@ -321,11 +321,30 @@ def _exact_json(text: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else json.dumps(json.loads(t)) for t in text], dtype=object)
 
 
-def json_key(v: Val) -> Column:
-    """The ASCII JSON text by which ORDER BY compares: "10" is before "9", 10 before 9, and é between Z and a."""
+def _simple_json(v: Val) -> tuple[Column, Column] | None:
+    """The JSON text of a number, a truth value or a string, and whether it is that: a string may hold what JSON writes
+    otherwise. None for other types."""
     if isinstance(v.type, T.BooleanType | T.ByteType | T.ShortType | T.IntegerType | T.LongType):
-        return F.coalesce(v.col.cast("string"), F.lit("null"))
-    return _exact_json(text_key(v))
+        return F.coalesce(v.col.cast("string"), F.lit("null")), F.lit(True)
+    if isinstance(v.type, T.StringType):
+        return F.coalesce(F.concat(F.lit('"'), v.col, F.lit('"')), F.lit("null")), F.coalesce(v.col.rlike(r"^[ !#-\[\]-~]*\z"), F.lit(True))
+    return None
+
+
+def json_key(v: Val, items: list[Val] | None = None) -> Column:
+    """The ASCII JSON text by which ORDER BY compares: "10" is before "9", 10 before 9, and é between Z and a. items: the
+    elements, if it is an array of known ones. Only what isn't simple reaches Python."""
+    some = [_simple_json(x) for x in ([v] if items is None else items)]
+    if not some or any(x is None for x in some):
+        return _exact_json(text_key(v))
+    text, simple = some[0]
+    for x, s in some[1:]:
+        text, simple = F.concat(text, F.lit(", "), x), simple & s
+    if items is not None:
+        text = F.concat(F.lit("["), text, F.lit("]"))
+    elif not isinstance(v.type, T.StringType):
+        return text
+    return F.when(simple, text).otherwise(_exact_json(F.when(~simple, text_key(v))))
 
 
 # -- regular expressions

@@ -304,9 +304,11 @@ class Engine:
             case A.Where(condition):
                 return self.where(condition, f)
             case A.OrderBy(key):
-                f, v = self.value(f, key)
+                f, (key,) = self.lift(f, key)
+                ex = self.compiler(f)
+                items = [ex.value(e) for _, e in key.parts] if isinstance(key, A.Array) and not any(spread for spread, _ in key.parts) else None
                 n = fresh("o")
-                out = replace(f, df=f.df.withColumn(n, V.json_key(v)), order=(n, *f.order), unit=False)
+                out = replace(f, df=f.df.withColumn(n, V.json_key(ex.value(key), items)), order=(n, *f.order), unit=False)
                 self._sorted = self._sorted or not within
                 return out
         raise QueryError(f"{type(clause).__name__} is no clause to read")

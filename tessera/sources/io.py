@@ -104,7 +104,8 @@ class Files:
         return sorted(n for x in self.fs.listStatus(self.path(directory)) if (n := x.getPath().getName()).startswith(prefix))
 
     def put(self, parts: list[str], target: str) -> None:
-        """The parts in order as one file; a single part is only renamed, more are copied by the driver's JVM in blocks."""
+        """The parts in order as one file; a single part is only renamed, more are copied by the driver's JVM in blocks,
+        each deleted then, so that no more than one part's lines stand there twice."""
         to = self.path(target)
         self.fs.mkdirs(to.getParent())
         if len(parts) == 1:
@@ -117,6 +118,7 @@ class Files:
             source = self.fs.open(self.path(part))
             self.jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, self.conf, False)
             source.close()
+            self.fs.delete(self.path(part), False)
         out.close()
         self.fs.delete(to, True)
         self.fs.rename(tmp, to)
@@ -151,15 +153,15 @@ def write_routed(df: DataFrame, path: Column, line: Column, order: list[str], ba
     the parts of each path under base, in shared storage; a path of many lines is written by several tasks."""
     files, tmp = Files(df.sparkSession, base), f"{base.rstrip('/')}/.{uuid.uuid4().hex}.parts"
     named = F.when(path.isNull(), F.raise_error(F.lit("SAVE: a path is null"))).otherwise(path)
-    out = df.select(named.alias("p"), line.alias("value"), *order)
-    out = out.repartitionByRange("p", *order).sortWithinPartitions("p", *order).select("p", "value")
+    # lines are made behind the exchange: what samples the order for it doesn't make them, too
+    p = fresh("p")
+    out = df.withColumn(p, named).repartitionByRange(p, *order).sortWithinPartitions(p, *order).select(p, line.alias("value"))
     try:
-        out.write.partitionBy("p").text(tmp)
-        for directory in files.names(tmp, "p="):
-            parts, target = f"{tmp}/{directory}", unquote(directory.removeprefix("p="))
+        out.write.partitionBy(p).text(tmp)
+        for directory in files.names(tmp, f"{p}="):
+            parts, target = f"{tmp}/{directory}", unquote(directory.removeprefix(f"{p}="))
             if single:
                 files.put([f"{parts}/{n}" for n in files.names(parts, "part-")], target)
-                files.drop(parts)  # no path's lines stand there twice while the next ones are copied
             else:
                 files.move(parts, target)
     finally:

@@ -74,3 +74,13 @@ def test_any_key_of_an_object_is_found(spark):
         assert (json.loads(r["x"]) == KEYS[r["k"]] if there else r["x"] is None), r
     plain = got.where("k = 'a' and d like '{\"a\"%'")
     assert "$['" in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keys_of_an_order_are_exact(spark):
+    """What the JVM writes is what Python's JSON writes."""
+    texts = ["", None, "a b~!", 'q"', "back\\", "é", "\x7f", "tab\t", "/", "a\n", "[", "]"]
+    df = spark.createDataFrame([(t, n, b) for t in texts for n in (None, 0, -(2**62)) for b in (None, True)], "t string, n long, b boolean")
+    t, n, b = (V.Val(F.col(c), df.schema[c].dataType) for c in "tnb")
+    array = V.Val(F.to_variant_object(F.array(*[V.to_variant(x) for x in (t, n, b)])), V.VARIANT)
+    for r in df.select("*", V.json_key(t).alias("one"), V.json_key(array, [t, n, b]).alias("all")).collect():
+        assert r["one"] == json.dumps(r["t"]) and r["all"] == json.dumps([r["t"], r["n"], r["b"]])
